@@ -167,16 +167,22 @@ def in_game(lines: DataFrame) -> DataFrame:
 
 
 def _events(lines: DataFrame) -> DataFrame:
-    """Header and payload lines with their fields; ``payload`` is NULL where the
-    JSON lacks the branch its event type must have."""
+    """Lines inside games with header fields and payload.
+
+    ``raw`` is the payload text of an event and NULL on other lines; ``payload``
+    is also NULL where the JSON lacks the branch its event type must have.
+    """
     kind, line = F.col("kind"), F.col("line")
     is_payload = (kind == L.TEXT) & F.col("head").isNotNull()
     return (
         in_game(lines)
-        .filter(is_payload | _is_header())
+        .filter(is_payload | kind.isin(L.INLINE, L.HEAD, L.BAD, L.START))
         .select(
             *GAME,
             "line_ord",
+            "kind",
+            "next_kind",
+            "line",
             "deck",
             L.header_fields(L.metadata(F.when(is_payload, F.col("head")).otherwise(line))).alias("h"),
             F.when(is_payload, line).when(kind == L.INLINE, L.inline_payload(line)).alias("raw"),
@@ -214,41 +220,36 @@ def bronze(lines: DataFrame) -> DataFrame:
 def quarantine(lines: DataFrame) -> DataFrame:
     """Lines inside a game that look like events but cannot be read, with the reason."""
     kind = F.col("kind")
-    lost = (
-        in_game(lines)
+    followed = F.coalesce(F.col("next_kind") == L.TEXT, F.lit(False))
+    return (
+        _events(lines)
         .withColumn(
             "reason",
             F.when(kind == L.BAD, "header")
-            .when((kind == L.HEAD) & ~F.coalesce(F.col("next_kind") == L.TEXT, F.lit(False)), "no_payload"),
+            .when((kind == L.HEAD) & ~followed, "no_payload")
+            .when(F.col("raw").isNotNull() & F.col("payload").isNull(), "no_branch"),
         )
         .filter(F.col("reason").isNotNull())
-        .select("source_file", "game_num", (F.col("line_ord") * 2 + 1).alias("row_ord"), "reason", "line")
-    )
-    branch = (
-        _events(lines)
-        .filter(F.col("raw").isNotNull() & F.col("payload").isNull())
-        .select(*GAME, (F.col("line_ord") * 2 + 1).alias("row_ord"), F.lit("no_branch").alias("reason"),
-                F.col("raw").alias("line"))
+        .select(
+            *GAME, (F.col("line_ord") * 2 + 1).alias("row_ord"), "reason", F.coalesce("raw", "line").alias("line")
+        )
     )
-    return lost.unionByName(branch)
 
 
 def file_manifest(files: DataFrame, lines: DataFrame) -> DataFrame:
     """Games and event rows per source; sources without events are kept and marked."""
-    games = classify(lines).groupBy("source_file").agg(
-        F.sum((F.col("kind") == L.START).cast("bigint")).alias("games")
-    )
-    rows = (
-        bronze(lines).filter(F.col("event") != P.DECK_EVENT).groupBy("source_file").agg(F.count("*").alias("rows"))
+    count_if = lambda test: F.sum(F.when(test, 1).otherwise(0)).cast("bigint")
+    seen = _events(lines).groupBy("source_file").agg(
+        count_if(F.col("kind") == L.START).alias("games"), F.count("payload").alias("rows")
     )
+    zero = F.lit(0).cast("bigint")
     return (
         files.select("source_file")
-        .join(games, "source_file", "left")
-        .join(rows, "source_file", "left")
+        .join(seen, "source_file", "left")
         .select(
             "source_file",
-            F.coalesce("games", F.lit(0)).cast("bigint").alias("games"),
-            F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
-            F.when(F.coalesce("rows", F.lit(0)) > 0, "parsed").otherwise("no_games").alias("status"),
+            F.coalesce("games", zero).alias("games"),
+            F.coalesce("rows", zero).alias("rows"),
+            F.when(F.coalesce("rows", zero) > 0, "parsed").otherwise("no_games").alias("status"),
         )
     )

@@ -27,9 +27,9 @@ def _block() -> Column:
 
 def candidates(messages: DataFrame) -> DataFrame:
     """Game states that show a hand zone or begin the first turn."""
-    state = F.col("m.gameStateMessage")
+    state, text = F.col("m.gameStateMessage"), F.col("message")
     return (
-        messages.filter(F.col("message").contains(GAME_STATE))
+        messages.filter(text.contains(GAME_STATE) & (text.contains(HAND_ZONE) | text.contains(BEGINNING)))
         .withColumn("m", P.game_message(F.col("message")))
         .filter(F.col("m.type") == GAME_STATE)
         .select(

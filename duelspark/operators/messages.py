@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from duelspark.functions import payloads as P
 from duelspark.schemas import GAME
 
-ORDER = ["row_ord", "msg_pos"]
-
 
 def explode_messages(bronze: DataFrame) -> DataFrame:
     """One row per message, ordered by (row_ord, msg_pos); summarized payloads are dropped."""
@@ -19,19 +17,27 @@ def explode_messages(bronze: DataFrame) -> DataFrame:
     )
 
 
-def first_last(messages: DataFrame) -> DataFrame:
-    """First and last row of each game, by row order.
+def first_last(bronze: DataFrame) -> DataFrame:
+    """First and last message of each game, by row order.
 
-    Game-state text is left out before the grouping: it is most of the bytes and
-    neither end of a game is read from it.
+    Game-state payloads are left out before the grouping: they are most of the
+    bytes, neither end of a game is read from them, and none is parsed here.
     """
-    place = F.struct(*ORDER)
-    text = F.when(F.col("event") != P.GAME_EVENT, F.col("message"))
-    return messages.groupBy(*GAME).agg(
+    rows = bronze.filter(~P.is_summarized(F.col("payload")))
+    place = F.col("row_ord")
+    text = F.when(F.col("event") != P.GAME_EVENT, F.col("payload"))
+    ends = rows.groupBy(*GAME).agg(
         F.min_by("player_id", place).alias("player_id"),
         F.min_by("timestamp", place).alias("first_time"),
         F.max_by("timestamp", place).alias("last_time"),
-        F.min_by(text, place).alias("first_message"),
-        F.max_by(text, place).alias("last_message"),
-        F.count("*").alias("messages"),
+        F.min_by(text, place).alias("first"),
+        F.max_by(text, place).alias("last"),
+        F.count("*").alias("rows"),
+    )
+    last = P.messages(F.col("last"))
+    return ends.select(
+        *GAME, "player_id", "first_time", "last_time",
+        F.get(P.messages(F.col("first")), F.lit(0)).alias("first_message"),
+        F.get(last, F.size(last) - 1).alias("last_message"),
+        "rows",
     )

@@ -67,10 +67,11 @@ MESSAGES = LOG + f""", ms AS (
 
 ENDS = MESSAGES + """, nu AS (
   SELECT *, row_number() OVER (PARTITION BY user_id, game_num ORDER BY event_id, sub, msg_pos) AS n,
-    count(*) OVER (PARTITION BY user_id, game_num) AS messages
+    count(*) OVER (PARTITION BY user_id, game_num) AS messages,
+    count(CASE WHEN msg_pos = 0 THEN 1 END) OVER (PARTITION BY user_id, game_num) AS "rows"
   FROM ms
 ), en AS (
-  SELECT f.user_id, f.game_num, f.player_id, f."timestamp" AS first_time, l."timestamp" AS last_time, f.messages,
+  SELECT f.user_id, f.game_num, f.player_id, f."timestamp" AS first_time, l."timestamp" AS last_time, f."rows",
     CASE WHEN f.r = -1 THEN f.fact END AS deck_event, CASE WHEN f.r = -1 THEN f.k END AS dk,
     CASE WHEN l.r BETWEEN 0 AND 2 THEN l.fact END AS room, l.r IN (0, 1) AS complete,
     l.event_id AS last_event, l.k AS last_k, f.seat, f.ts AS first_ts, l.ts AS last_ts
@@ -123,7 +124,7 @@ HANDS = MESSAGES + f""", bo AS (
     CASE WHEN msg_pos = 0 AND event_id % 4 <> 0 THEN k % 4 END AS mulligan
   FROM op
 ), im AS (
-  SELECT user_id, game_num, i1 - 1 + j AS instance_id, max_by((event_id * 7 + j * 13 + k) % 2000, event_id) AS arena_id
+  SELECT user_id, game_num, cast(i1 - 1 + j AS bigint) AS instance_id, max_by((event_id * 7 + j * 13 + k) % 2000, event_id) AS arena_id
   FROM oz, (SELECT unnest([1, 2, 3]) AS j) WHERE msg_pos = 0 GROUP BY ALL
 )"""
 
@@ -295,7 +296,7 @@ ORACLE = {
         LEFT JOIN (SELECT user_id, game_num FROM ga WHERE complete) c USING (user_id, game_num) WHERE c.user_id IS NULL""",
     "payload_explode": MESSAGES + 'SELECT user_id, game_num, "timestamp", event, msg_pos, type FROM ms',
     "game_first_last": ENDS + """
-        SELECT user_id, game_num, player_id, first_time, last_time, messages, deck_event, room FROM en""",
+        SELECT user_id, game_num, player_id, first_time, last_time, "rows", deck_event, room FROM en""",
     "players": GAMES + "SELECT player_id, min_by(display_name, game_num) AS display_name FROM ga WHERE complete GROUP BY 1",
     "players_upsert": GAMES + """
         SELECT player_id, min_by(display_name, game_num) AS display_name FROM ga

@@ -27,7 +27,7 @@ from duelspark.plans import silver
 from duelspark.plans import standins as S
 from duelspark.session import stage, work_path
 from duelspark.sources import bronze_files, card_bulk, logs
-from duelspark.sources.store import Store
+from duelspark.sources.store import Store, laid_out
 from duelspark.streaming import ingest
 
 QUERIES: dict = {}
@@ -60,7 +60,7 @@ def _messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _games(spark: SparkSession, folder: str) -> DataFrame:
-    return G.describe(M.first_last(_messages(spark, folder)))
+    return G.describe(M.first_last(_bronze(spark, folder)))
 
 
 def _event_id() -> Column:
@@ -149,8 +149,6 @@ def schema_check(spark, folder):
 def table_layout(spark, folder):
     """Matches written in clustered form and read back, per player."""
     path = work_path(spark, "layout")
-    from duelspark.sources.store import laid_out
-
     laid_out(S.matches(S.table(spark, folder, "orders")), schemas.SILVER["matches"]).write.parquet(path)
     return spark.read.parquet(path).groupBy("player_id").agg(F.count("*").alias("rows"))
 
@@ -225,7 +223,7 @@ def quarantine(spark, folder):
 @query
 def incomplete_games(spark, folder):
     bronze = stage(_bronze(spark, folder), "bronze")
-    games = G.describe(M.first_last(M.explode_messages(bronze)))
+    games = G.describe(M.first_last(bronze))
     return G.incomplete(bronze, games).select(_user(), "game_num", "player_id")
 
 
@@ -242,8 +240,8 @@ def payload_explode(spark, folder):
 
 @query
 def game_first_last(spark, folder):
-    return M.first_last(_messages(spark, folder)).select(
-        _user(), "game_num", "player_id", "first_time", "last_time", "messages",
+    return M.first_last(_bronze(spark, folder)).select(
+        _user(), "game_num", "player_id", "first_time", "last_time", "rows",
         F.get_json_object("first_message", "$.id").alias("deck_event"),
         F.get_json_object("last_message", "$.gameRoomConfig.matchId").alias("room"),
     )
@@ -354,7 +352,7 @@ def hand_messages(spark, folder):
     opening = H.opening(stage(H.candidates(_messages(spark, folder)), "candidates"))
     return opening.select(
         *_message_time(["msg_pos", "unfinished"]),
-        joined(H.P.first_where(F.col("zones"), lambda z: z["type"] == H.HAND_ZONE)["objectInstanceIds"]).alias("ids"),
+        joined(P.first_where(F.col("zones"), lambda z: z["type"] == H.HAND_ZONE)["objectInstanceIds"]).alias("ids"),
     )
 
 
@@ -427,7 +425,7 @@ def dim_cards(spark, folder):
 @query
 def dim_cards_dedup(spark, folder):
     cards = S.bulk_cards(S.table(spark, folder, "part"))
-    return dims.dim_cards(dims.first_per_id(cards, ["ord"])).select(*_CARD_COLUMNS)
+    return dims.dim_cards(dims.first_per_id(dims.on_client(cards), ["ord"])).select(*_CARD_COLUMNS)
 
 
 @query

@@ -13,6 +13,7 @@ from duelspark.operators import games as G
 from duelspark.operators import hands as H
 from duelspark.operators import messages as M
 from duelspark.operators.keys import assign_ids, highest
+from duelspark.operators.quality import counts
 from duelspark.schemas import GAME
 from duelspark.session import stage
 from duelspark.sources.store import Store
@@ -32,9 +33,9 @@ class Silver:
 def shape(bronze: DataFrame, zone: str | None = T.LOG_ZONE, collapse: bool = False) -> Silver:
     """All silver relations. Game facts and opening hands are written once each,
     since several tables read them and both are small next to the events."""
-    messages = M.explode_messages(bronze)
-    games = stage(G.describe(M.first_last(messages), zone), "games")
-    opening = stage(H.opening(stage(H.candidates(messages), "hand-candidates")), "opening")
+    games = stage(G.describe(M.first_last(bronze), zone), "games")
+    candidates = stage(H.candidates(M.explode_messages(bronze)), "hand-candidates")
+    opening = stage(H.opening(candidates), "opening")
     return Silver(
         games=games,
         players=G.players(games),
@@ -82,6 +83,4 @@ def read_all(store: Store) -> dict[str, DataFrame]:
 
 
 def row_totals(store: Store) -> DataFrame:
-    from duelspark.operators.quality import counts
-
     return counts(read_all(store)).orderBy(F.col("table_name"))

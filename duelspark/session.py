@@ -37,6 +37,8 @@ def shared_root(spark: SparkSession) -> str:
     if root is None:
         # Fixed at launch time on a cluster; not always copied into the SQL conf.
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if root is None:
+        root = spark.sparkContext.getCheckpointDir()
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
