@@ -14,7 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot join key is split even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Longer generated methods are never compiled to machine code by the JVM.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -12,7 +12,7 @@ from duelspark.plans import gold, silver
 from duelspark.sources.store import Store
 
 
-@pytest.fixture(scope="module", params=[None, 1, 3], ids=lambda b: f"block{b}")
+@pytest.fixture(scope="module", params=[None, 3], ids=lambda b: f"block{b}")
 def lines(spark, request):
     return as_lines(spark, {"a.log": golden_log()}, request.param)
 
