@@ -26,19 +26,30 @@ def wrap_list(text: Column) -> Column:
     return F.concat(F.lit("["), text, F.lit("]"))
 
 
-def project(event: Column, payload: Column, parsed: Column) -> Column:
-    """Payload kept for an event type; ``parsed`` is ``try_parse_json(payload)``.
+def is_json(text: Column) -> Column:
+    """Whether the text is one whole JSON object or array.
+
+    Keys and lengths are read by walking the text to its end without building it.
+    """
+    return F.coalesce(
+        (text.startswith("{") & text.endswith("}") & F.json_object_keys(text).isNotNull())
+        | (text.startswith("[") & text.endswith("]") & F.json_array_length(text).isNotNull()),
+        F.lit(False),
+    )
+
+
+def project(event: Column, payload: Column) -> Column:
+    """Payload kept for an event type.
 
     Text that is no JSON stays as a quoted string. NULL means that the JSON is
     fine but lacks the branch its event type must have.
     """
-    usable = parsed.isNotNull() & (payload.endswith("}") | payload.endswith("]"))
     return (
         F.when(payload.isNull(), None)
-        .when(~usable, json_string(payload))
-        .when(event == GAME_EVENT, F.variant_get(parsed, GAME_PATH, "string"))
-        .when(event == ROOM_EVENT, wrap_list(F.variant_get(parsed, ROOM_PATH, "string")))
-        .otherwise(F.variant_get(parsed, "$", "string"))
+        .when(~is_json(payload), json_string(payload))
+        .when(event == GAME_EVENT, F.get_json_object(payload, GAME_PATH))
+        .when(event == ROOM_EVENT, wrap_list(F.get_json_object(payload, ROOM_PATH)))
+        .otherwise(payload)
     )
 
 

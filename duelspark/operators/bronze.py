@@ -79,7 +79,6 @@ def _frame(lines: DataFrame) -> DataFrame:
         F.sum((kind == L.START).cast("int")).over(upto).alias("starts"),
         F.last(F.when(kind.isin(L.START, L.END), kind), True).over(upto).alias("mark"),
         F.last(F.when(kind == L.DECK, pos), True).over(upto).alias("deck_pos"),
-        F.last(F.when(kind == L.DECK, line), True).over(upto).alias("deck_line"),
         F.lag(F.when(kind == L.HEAD, line)).over(order).alias("prev_head"),
         F.lead(kind).over(order).alias("next_kind"),
     )
@@ -137,10 +136,16 @@ def in_game(lines: DataFrame) -> DataFrame:
     """Every line inside a game that is a header or may be a payload, with full context."""
     frame = _frame(lines)
     order = Window.partitionBy(*BLOCK).orderBy("pos")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    pos, mark = F.col("pos"), F.col("mark")
-    local = frame.select(
+    pos, mark, kind, line = F.col("pos"), F.col("mark"), F.col("kind"), F.col("line")
+    # Text that follows no header, and lines no rule wants, end here.
+    useful = (kind.isin(L.INLINE, L.HEAD, L.BAD, L.START, L.DECK)) | (
+        (kind == L.TEXT) & (F.col("prev_head").isNotNull() | (F.col("line_no") == 1))
+    )
+    local = frame.filter(useful).select(
         "*",
+        F.last(F.when(kind == L.DECK, line), True).over(upto).alias("deck_line"),
         F.last(F.when(_is_header() & (mark == L.START), pos), True).over(earlier).alias("sure"),
         F.last(F.when(_is_header() & mark.isNull(), pos), True).over(earlier).alias("open"),
     )
@@ -151,7 +156,7 @@ def in_game(lines: DataFrame) -> DataFrame:
     )
     return (
         local.join(block_carry(frame), BLOCK, "left")
-        .filter(F.coalesce(mark, F.col("mark_in")) == L.START)
+        .filter((F.coalesce(mark, F.col("mark_in")) == L.START) & (kind != L.DECK))
         .select(
             "source_file",
             (F.col("games_in") + F.col("starts")).cast("int").alias("game_num"),
@@ -187,9 +192,7 @@ def _events(lines: DataFrame) -> DataFrame:
             L.header_fields(L.metadata(F.when(is_payload, F.col("head")).otherwise(line))).alias("h"),
             F.when(is_payload, line).when(kind == L.INLINE, L.inline_payload(line)).alias("raw"),
         )
-        .withColumn("json", F.try_parse_json("raw"))
-        .withColumn("payload", P.project(F.col("h.event"), F.col("raw"), F.col("json")))
-        .drop("json")
+        .withColumn("payload", P.project(F.col("h.event"), F.col("raw")))
     )
 
 

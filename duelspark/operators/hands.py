@@ -9,6 +9,7 @@ from duelspark.functions import cards as C
 from duelspark.functions import payloads as P
 from duelspark.operators.running import carry_forward, next_value
 from duelspark.schemas import GAME
+from duelspark.session import stage
 
 # Fixed values of the log format.
 GAME_STATE = "GREMessageType_GameStateMessage"
@@ -155,6 +156,10 @@ def collapse_repeats(hands: DataFrame) -> DataFrame:
 
 
 def turn1_hands(opening: DataFrame, collapse: bool = False) -> DataFrame:
-    """All opening hands of all games, from ``opening`` messages."""
-    shown = visible(fill_mulligans(cards(zones(opening), instance_map(opening))))
-    return collapse_repeats(shown) if collapse else shown
+    """All opening hands of all games, from ``opening`` messages.
+
+    Running values read their input twice, so it is written once before each.
+    """
+    listed = stage(cards(zones(opening), instance_map(opening)), "hand-cards")
+    shown = visible(fill_mulligans(listed))
+    return collapse_repeats(stage(shown, "hands")) if collapse else shown
