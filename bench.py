@@ -23,9 +23,9 @@ CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 HEADLINE = [
-    "player_metrics", "deck_metrics", "card_metrics", "mulligan_metrics", "win_rate_30d", "most_played_deck",
-    "deck_colors", "card_opener_winrate", "game_sessionize", "deck_carry", "payload_project", "matches",
-    "decks_dedup", "turn1_hands", "hands_collapsed", "deck_hash", "surrogate_keys", "dim_cards", "bronze_roundtrip",
+    "player_metrics", "deck_metrics", "card_metrics", "deck_colors", "card_opener_winrate", "game_sessionize",
+    "deck_carry", "payload_project", "matches", "turn1_hands", "deck_hash", "surrogate_keys", "dim_cards",
+    "bronze_roundtrip",
 ]
 
 

@@ -254,7 +254,9 @@ ORACLE = {
     "log_scan": LOG + FACTS,
     "bronze_roundtrip": LOG + FACTS,
     "stream_ingest": LOG + FACTS,
-    "new_files": "SELECT DISTINCT user_id FROM events WHERE user_id % 2 = 1",
+    "new_files": """
+        SELECT DISTINCT user_id FROM events
+        WHERE user_id NOT IN (SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-03')""",
     "file_manifest": LOG + """
         SELECT user_id, games, coalesce(n, 0) AS "rows", CASE WHEN n > 0 THEN 'parsed' ELSE 'no_games' END AS status
         FROM (SELECT user_id, count(*) FILTER (WHERE what = 'start') AS games FROM cl GROUP BY user_id)
@@ -300,7 +302,8 @@ ORACLE = {
     "players": GAMES + "SELECT player_id, min_by(display_name, game_num) AS display_name FROM ga WHERE complete GROUP BY 1",
     "players_upsert": GAMES + """
         SELECT player_id, min_by(display_name, game_num) AS display_name FROM ga
-        WHERE complete AND player_id NOT IN (SELECT 'P' || c_custkey FROM customer WHERE c_custkey % 2 = 0) GROUP BY 1""",
+        WHERE complete AND player_id NOT IN (
+          SELECT 'P' || c_custkey FROM customer WHERE c_mktsegment IN ('MACHINERY', 'FURNITURE')) GROUP BY 1""",
     "match_times": f"""
         SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS local_time,
           strftime({UTC.format('ts')}, '%Y-%m-%d %H:%M:%S') AS utc_time,
@@ -380,7 +383,7 @@ ORACLE = {
     "card_opener_winrate": GOLD + "SELECT player_id, deck_id, arena_id, win_rate_opener FROM oc",
     "card_draw_chance": GOLD + "SELECT deck_id, arena_id, total_in_deck, draw_chance FROM ch",
     "union_all_rows": MODEL + "SELECT id FROM s",
-    "model_filter": MODEL + "SELECT id FROM s WHERE id = 1 OR id % 7 = 1",
+    "model_filter": MODEL + "SELECT id FROM s WHERE id IS NOT NULL",
     "model_table": MODEL + 'SELECT id, count(*) AS "rows" FROM s GROUP BY id',
     "dq_unique": """
         SELECT l_orderkey, l_linenumber, count(*) AS "rows" FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
