@@ -256,7 +256,7 @@ ORACLE = {
     "stream_ingest": LOG + FACTS,
     "new_files": """
         SELECT DISTINCT user_id FROM events
-        WHERE user_id NOT IN (SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-03')""",
+        WHERE user_id NOT IN (SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-01 06:00:00')""",
     "file_manifest": LOG + """
         SELECT user_id, games, coalesce(n, 0) AS "rows", CASE WHEN n > 0 THEN 'parsed' ELSE 'no_games' END AS status
         FROM (SELECT user_id, count(*) FILTER (WHERE what = 'start') AS games FROM cl GROUP BY user_id)

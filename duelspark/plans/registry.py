@@ -114,9 +114,9 @@ def bronze_roundtrip(spark, folder):
 
 @query
 def new_files(spark, folder):
-    """Logs of users who came later, as those of the first two days are in the manifest already."""
+    """Logs of users who came later, as those of the first six hours are in the manifest already."""
     files = logs.list_files(spark, _written_logs(spark, folder), "*.txt").withColumn("user_id", _user())
-    early = S.table(spark, folder, "events").filter("ts < '2024-01-03'").select("user_id").distinct()
+    early = S.table(spark, folder, "events").filter("ts < '2024-01-01 06:00:00'").select("user_id").distinct()
     done = files.join(early, "user_id", "left_semi").select("source_file")
     return logs.unprocessed(files, done).select("user_id").distinct()
 

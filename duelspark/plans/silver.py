@@ -53,9 +53,9 @@ def load(store: Store, silver: Silver) -> None:
     numbered = stage(
         assign_ids(fresh, GAME, "match_id", highest(store.read("matches"), "match_id")), "numbered-matches"
     )
-    unseen = silver.decks.join(fresh.select("match_key"), "match_key", "left_semi").join(
-        store.read("decks").select(*D.CONTENT), D.CONTENT, "left_anti"
-    )
+    # Decks of the new matches only, so that each one has its first match at hand.
+    used = D.by_content(silver.games.join(fresh.select(*GAME), GAME, "left_semi"))
+    unseen = G.absent(used, store.read("decks"), D.CONTENT)
     decks = assign_ids(unseen, D.CONTENT, "deck_id", highest(store.read("decks"), "deck_id")).join(
         numbered.select("match_key", "match_id"), "match_key"
     )
