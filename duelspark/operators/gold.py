@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duelspark.operators.decks import deck_cards
-
 RATE = "decimal(38,9)"
 MULLIGANS = (0, 1, 2)
 
