@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,8 +31,7 @@ def build_session(app: str = "duelspark", master: str | None = None, **extra: st
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir`` of the session.
 
-    A machine-local folder is used only where the setting is missing and Spark
-    itself runs on one machine.
+    Where that is unset, the warehouse, which a cluster shares as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
@@ -42,10 +40,7 @@ def shared_root(spark: SparkSession) -> str:
     if root is None:
         root = spark.sparkContext.getCheckpointDir()
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="duelspark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = spark.conf.get("spark.sql.warehouse.dir")
     return root.rstrip("/")
 
 
