@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelspark.llm import chat, mixing, sharding
+from duelspark.llm import chat, licenses, mixing, sharding, token_ids
 from duelspark.llm.sql import ORACLE
+from duelspark.session import work_path
 
 __all__ = ["QUERIES", "ORACLE"]
 
@@ -15,6 +16,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_ids(spark, folder):
+    """All documents encoded, stored in the binary format and read back from it."""
+    path = work_path(spark, "token-ids")
+    token_ids.write(table(spark, folder, "documents"), path, tokenizer("word_bpe_49k.json"), end_id=2)
+    return token_ids.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op2_rendezvous_shards(spark, folder):
     """24 shards of equal weight, and where a 25th would take rows."""
     sharded = sharding.shard_table(table(spark, folder, "documents"), [1.0] * 24)
@@ -23,6 +37,25 @@ def op2_rendezvous_shards(spark, folder):
     )
 
 
+def op5_license_scan(spark, folder):
+    """License phrases and covered templates of all documents."""
+    found = licenses.scan(table(spark, folder, "documents"))
+    base, method = F.col("places.label"), F.col("spans.label")
+    starts = F.col("places.start")
+    listed = lambda labels: F.array_join(F.sort_array(F.array_distinct(labels)), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        listed(base).alias("base_labels"),
+        listed(F.concat(base, method)).alias("labels"),
+        "score",
+        "spans",
+    )
+
+
 def op6_chat_format(spark, folder):
     """All conversations and one that consists of control strings, read back from the formatted text."""
     hostile = spark.range(2).select(
@@ -57,7 +90,9 @@ def op10_mix_sources(spark, folder):
 QUERIES = {
     fn.__name__: fn
     for fn in (
+        op1_token_ids,
         op2_rendezvous_shards,
+        op5_license_scan,
         op6_chat_format,
         op10_mix_sources,
     )
