@@ -35,6 +35,11 @@ def header(role: Column) -> Column:
     return F.concat(F.lit(TURN), role, F.lit(TEXT))
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def joined(units: Column) -> Column:
     """One unit of an array of them.
 
@@ -43,33 +48,41 @@ def joined(units: Column) -> Column:
     and spans of the loss mask counted from the start of ``body``. Units that
     meet in the same role are merged.
     """
-    lead = lambda unit, i: F.when(i == 0, F.lit("")).otherwise(
-        F.when(F.get(units, i - 1).getField("last") == unit.getField("first"), F.lit(NEXT)).otherwise(
-            F.concat(F.lit(END), header(unit.getField("first")))
+
+    def piece(units, unit, i):
+        met = F.get(units, i - 1).getField("last") == unit.getField("first")
+        apart = F.concat(F.lit(END), header(unit.getField("first")))
+        return F.concat(F.when(i == 0, F.lit("")).when(met, F.lit(NEXT)).otherwise(apart), unit.getField("body"))
+
+    def summed(lengths):
+        return F.aggregate(
+            lengths, F.array(F.lit(0)), lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n))
         )
-    )
-    pieces = F.transform(units, lambda unit, i: F.concat(lead(unit, i), unit.getField("body")))
-    ends = F.aggregate(
-        pieces, F.array(F.lit(0)), lambda done, piece: F.concat(done, F.array(F.element_at(done, -1) + F.char_length(piece)))
-    )
-    # The body of a unit ends where its piece ends.
-    starts = F.transform(units, lambda unit, i: F.get(ends, i + 1) - F.char_length(unit.getField("body")))
-    loss = F.transform(
-        units,
-        lambda unit, i: F.transform(
+
+    def moved(unit, start):
+        return F.transform(
             unit.getField("loss"),
-            lambda span: F.struct(
-                (span.getField("start") + F.get(starts, i)).alias("start"), span.getField("length").alias("length")
-            ),
+            lambda span: F.struct((span.getField("start") + start).alias("start"), span.getField("length").alias("length")),
+        )
+
+    def all_of(units, pieces, ends):
+        # The body of a unit ends where its piece ends.
+        start = lambda unit, i: F.get(ends, i + 1) - F.char_length(unit.getField("body"))
+        return F.struct(
+            F.get(units, F.lit(0)).getField("first").alias("first"),
+            F.element_at(units, -1).getField("last").alias("last"),
+            F.aggregate(units, F.lit(0).cast("long"), lambda n, unit: n + unit.getField("n")).alias("n"),
+            F.array_join(pieces, "").alias("body"),
+            F.flatten(F.transform(units, lambda unit, i: moved(unit, start(unit, i)))).alias("loss"),
+        )
+
+    return let(
+        units,
+        lambda u: let(
+            F.transform(u, lambda unit, i: piece(u, unit, i)),
+            lambda p: let(summed(F.transform(p, lambda x: F.char_length(x))), lambda e: all_of(u, p, e)),
         ),
     )
-    return F.struct(
-        F.get(units, F.lit(0)).getField("first").alias("first"),
-        F.element_at(units, -1).getField("last").alias("last"),
-        F.aggregate(units, F.lit(0).cast("long"), lambda n, unit: n + unit.getField("n")).alias("n"),
-        F.array_join(pieces, "").alias("body"),
-        F.flatten(loss).alias("loss"),
-    )
 
 
 def format_chat(rows: DataFrame, learned: str = "assistant", turns_per_block: int = TURNS_PER_BLOCK) -> DataFrame:
