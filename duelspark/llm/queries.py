@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelspark.llm import chat, licenses, mixing, sharding, token_ids
+from duelspark.llm import chat, languages, licenses, merkle, mixing, sharding, token_ids
 from duelspark.llm.sql import ORACLE
 from duelspark.session import work_path
 
@@ -82,6 +82,19 @@ def op6_chat_format(spark, folder):
     )
 
 
+def op7_language_id(spark, folder):
+    """The language of all documents, by a model of those that are not held out."""
+    docs = table(spark, folder, "documents")
+    model = languages.learn(docs.filter(~languages.held_out()))
+    found = languages.identify(docs, model)
+    return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score", "lang_spans")
+
+
+def op8_merkle_fingerprints(spark, folder):
+    """All documents against their edited texts and the next documents."""
+    return merkle.edited_by_next(table(spark, folder, "documents"))
+
+
 def op10_mix_sources(spark, folder):
     """All sources to equal shares of the text."""
     return mixing.mix(table(spark, folder, "documents"))
@@ -94,6 +107,8 @@ QUERIES = {
         op2_rendezvous_shards,
         op5_license_scan,
         op6_chat_format,
+        op7_language_id,
+        op8_merkle_fingerprints,
         op10_mix_sources,
     )
 }
