@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelspark.llm import chat, languages, licenses, merkle, mixing, sharding, token_ids
+from duelspark.llm import chat, languages, licenses, merkle, mixing, near_dups, sharding, token_ids
 from duelspark.llm.sql import ORACLE
 from duelspark.session import work_path
 
@@ -95,6 +95,11 @@ def op8_merkle_fingerprints(spark, folder):
     return merkle.edited_by_next(table(spark, folder, "documents"))
 
 
+def op9_minhash_dedup(spark, folder):
+    """Groups of documents whose two-word shingles are alike to 80 percent."""
+    return near_dups.near_duplicates(table(spark, folder, "documents"), words=2, percent=80)
+
+
 def op10_mix_sources(spark, folder):
     """All sources to equal shares of the text."""
     return mixing.mix(table(spark, folder, "documents"))
@@ -109,6 +114,7 @@ QUERIES = {
         op6_chat_format,
         op7_language_id,
         op8_merkle_fingerprints,
+        op9_minhash_dedup,
         op10_mix_sources,
     )
 }

@@ -94,6 +94,30 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
+OP9 = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\f\r]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+        ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+    SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE 100 * common >= 80 * (p.n + q.n - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+    SELECT doc_id, doc_id AS to_id FROM documents
+    UNION SELECT r.doc_id, b FROM reached r JOIN edges ON a = r.to_id)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(to_id) AS component_id, d.doc_id = min(to_id) AS kept
+FROM documents d JOIN reached r USING (doc_id) LEFT JOIN sizes s ON s.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
 OP10 = f"""
 WITH sizes AS (
     SELECT source AS s, coalesce(sum(octet_length(encode(text))), 0)::BIGINT AS size FROM documents GROUP BY source),
@@ -114,4 +138,4 @@ keyed AS ({hashes("copied", ["doc_id", "1::BIGINT", "0::BIGINT", "copy::BIGINT"]
 SELECT doc_id, text, lang, source, n_chars, rate, copies, copy, {_SIGNED} AS shuffle_key FROM keyed
 """
 
-ORACLE = {"op2_rendezvous_shards": OP2, "op6_chat_format": OP6, "op10_mix_sources": OP10}
+ORACLE = {"op2_rendezvous_shards": OP2, "op6_chat_format": OP6, "op9_minhash_dedup": OP9, "op10_mix_sources": OP10}
