@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 #: Rows go to Python in slices of about so many bytes of text.
 SLICE_BYTES = 4 << 20
@@ -28,19 +28,19 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x if x is not None else b"" for x in column.cast(kind).to_pylist()]
 
 
-def arrow_schema(ddl: str) -> pa.Schema:
+def arrow_schema(ddl: str | StructType) -> pa.Schema:
     """Only the driver can parse DDL; tasks get the schema."""
-    return to_arrow_schema(_parse_datatype_string(ddl))
+    return to_arrow_schema(_parse_datatype_string(ddl) if isinstance(ddl, str) else ddl)
 
 
 def rows_of(columns: dict[str, list] | list[list], schema: pa.Schema) -> pa.RecordBatch:
-    """A batch of ``schema`` from its columns, by name or in order."""
+    """A batch of ``schema`` from its columns, by name or in order. Arrow columns pass as they are."""
     if isinstance(columns, dict):
         columns = [columns[name] for name in schema.names]
-    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
+    return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
 
 
-def map_batches(df: DataFrame, ddl: str, each: Callable[[pa.RecordBatch], dict[str, list]], most: int = SLICE_BYTES) -> DataFrame:
+def map_batches(df: DataFrame, ddl: str | StructType, each: Callable[[pa.RecordBatch], dict[str, list]], most: int = SLICE_BYTES) -> DataFrame:
     """Applies ``each`` to slices of ``df``; it returns the columns of ``ddl``."""
     schema = arrow_schema(ddl)
 

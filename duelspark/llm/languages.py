@@ -28,6 +28,8 @@ SCRIPTS = [
 ]
 NAMES = sorted({name for name, _, _ in SCRIPTS} | {"other"})
 
+_LATIN = NAMES.index("latin")
+
 #: Trigrams are counted in so many buckets by their hash: the size of a model is languages times buckets.
 BUCKETS = 1 << 15
 
@@ -62,6 +64,13 @@ def letters(word: bytes) -> str:
     return "".join(c if c.isalpha() else " " for c in word.decode("utf-8", "replace").lower()).strip()
 
 
+def written_in(word: bytes) -> Counter:
+    """Letters of a rough word per script."""
+    if word.isascii():
+        return Counter({_LATIN: len(word)})
+    return Counter(script(c) for c in letters(word) if c != " ")
+
+
 def features(word: str) -> list[int]:
     """Buckets of the trigrams of a word and its edges, and of the word itself."""
     out = []
@@ -92,13 +101,15 @@ def learn(docs: DataFrame) -> dict:
 
     def counted(words):
         for lang, seen in words.items():
-            grams, scripts = np.zeros(BUCKETS, np.int64), np.zeros(len(NAMES), np.int64)
+            grams, lengths, scripts = [], [], np.zeros(len(NAMES), np.int64)
             for word, n in seen.items():
-                plain = letters(word)
-                np.add.at(grams, features(plain), n)
-                for c in plain:
-                    if c != " ":
-                        scripts[script(c)] += n
+                found = features(letters(word))
+                grams += found
+                lengths.append(len(found))
+                for kind, size in written_in(word).items():
+                    scripts[kind] += n * size
+            times = np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), lengths)
+            grams = np.bincount(np.array(grams, np.int64), weights=times, minlength=BUCKETS).astype(np.int64)
             for kind, found in ((0, grams), (1, scripts)):
                 at = np.flatnonzero(found)
                 yield rows_of([[lang] * len(at), [kind] * len(at), at.tolist(), found[at].tolist()], schema)
@@ -133,40 +144,40 @@ class Labeller:
 
     def clear(self) -> None:
         self.rows: dict[bytes, int] = {}
-        self.scores: list[np.ndarray] = []
+        self.scores: list[np.ndarray] = [np.zeros((0, len(self.names)), np.float32)]
         self.sizes: list[int] = []
 
-    def row(self, word: bytes) -> int:
-        """The number of a word's scores; letters count as far as they are letters."""
-        found = self.rows.get(word)
-        if found is not None:
-            return found
-        plain = letters(word)
-        got = np.zeros(len(self.names), np.float32)
-        if plain:
-            at = features(plain)
-            got = self.logs[at].sum(axis=0) / np.sqrt(len(at))
-            candidates = np.ones(len(self.names), bool)
-            for kind in {script(c) for c in plain if c != " "}:
+    def add(self, words: list[bytes]) -> None:
+        """Scores words that are new; letters count as far as they are letters."""
+        grams, lengths, allowed = [], [], np.ones((len(words), len(self.names)), bool)
+        for n, word in enumerate(words):
+            found = features(letters(word))
+            scripts = written_in(word)
+            grams += found
+            lengths.append(len(found))
+            for kind in scripts:
                 if self.written[kind].any():
-                    candidates &= self.written[kind]
-            if candidates.any():
-                got = np.where(candidates, got, got + self.FOREIGN)
-            got -= got.max()
-        self.rows[word] = len(self.scores)
-        self.scores.append(got)
-        self.sizes.append(len(plain) - plain.count(" "))
-        return self.rows[word]
+                    allowed[n] &= self.written[kind]
+            self.rows[word] = len(self.sizes)
+            self.sizes.append(sum(scripts.values()))
+        lengths = np.array(lengths)
+        got = np.zeros((len(words), len(self.names)), np.float32)
+        full = np.flatnonzero(lengths)
+        if len(full):
+            starts = np.concatenate([[0], np.cumsum(lengths[full])[:-1]])
+            got[full] = np.add.reduceat(self.logs[np.array(grams)], starts, axis=0) / np.sqrt(lengths[full])[:, None]
+        allowed |= ~allowed.any(axis=1, keepdims=True)
+        got = np.where(allowed, got, got + self.FOREIGN)
+        self.scores.append(got - got.max(axis=1, keepdims=True, initial=-np.inf))
 
     def label(self, texts: list[bytes]) -> list[tuple[list[bytes], np.ndarray, np.ndarray]]:
         """Per text: its rough words, the language number of each, and the letters of each."""
         if len(self.rows) > KEPT_WORDS:
             self.clear()
         split = [rough_words(text) for text in texts]
-        for words in split:
-            for word in set(words).difference(self.rows):
-                self.row(word)
-        scores, sizes = np.array(self.scores, np.float32), np.array(self.sizes, np.int64)
+        self.add(list(set().union(*split).difference(self.rows)))
+        scores, sizes = np.concatenate(self.scores), np.array(self.sizes, np.int64)
+        self.scores = [scores]
         ids = [np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words)) for words in split]
         paths = viterbi([scores[i] for i in ids], self.penalty) if self.names else [np.zeros(len(i), np.int64) for i in ids]
         return [(w, path, sizes[i] if len(i) else i) for w, path, i in zip(split, paths, ids)]
