@@ -36,6 +36,9 @@ BUCKETS = 1 << 15
 #: Words of one batch or worker whose scores are kept.
 KEPT_WORDS = 400_000
 
+#: What a change of language between two words costs, in units of a word's score.
+PENALTY = 8.0
+
 #: Fewer letters of a script than this share of a language's letters don't make it a candidate for that script.
 SCRIPT_SHARE = 0.001
 
@@ -231,11 +234,31 @@ def viterbi(scores: list[np.ndarray], penalty: float) -> list[np.ndarray]:
     return out
 
 
+UNKNOWN = "und"
 SPANS = "array<struct<lang:string,first:bigint,words:bigint,letters:bigint>>"
 
 
-def identify(docs: DataFrame, model: dict, penalty: float = 8.0) -> DataFrame:
-    """The columns of ``docs`` that are named here, doc_id and text, as doc_id, lang_pred, score, lang_spans.
+def _verdicts(labeller: Labeller, texts: list[bytes]) -> dict[str, list]:
+    names, out = labeller.names, {"lang_pred": [], "score": [], "lang_spans": []}
+    for words, path, sizes in labeller.label(texts):
+        total, spans, lang, score = int(sizes.sum()), [], UNKNOWN, 0.0
+        if total and names:
+            share = np.bincount(path, weights=sizes, minlength=len(names))
+            lang, score = names[int(share.argmax())], float(share.max() / total)
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(path)) + 1, [len(path)]])
+            sums = np.add.reduceat(sizes, edges[:-1])
+            spans = [
+                {"lang": names[path[a]], "first": int(a), "words": int(b - a), "letters": int(n)}
+                for a, b, n in zip(edges, edges[1:], sums)
+            ]
+        out["lang_pred"].append(lang)
+        out["score"].append(score)
+        out["lang_spans"].append(spans)
+    return out
+
+
+def identify(docs: DataFrame, model: dict, penalty: float = PENALTY) -> DataFrame:
+    """doc_id, lang_pred, score, lang_spans of every row of ``docs`` (doc_id, text, ...).
 
     ``lang_spans``: runs of words of one language, with its first word (from 0),
     words and letters. ``lang_pred`` is the language with most letters (ties: the
@@ -248,27 +271,28 @@ def identify(docs: DataFrame, model: dict, penalty: float = 8.0) -> DataFrame:
     def each(batch):
         if not ready:
             ready.append(Labeller(model, penalty))
-        names, out = ready[0].names, {"lang_pred": [], "score": [], "lang_spans": []}
-        for words, path, sizes in ready[0].label(utf8(batch.column("text"))):
-            total, spans, lang, score = int(sizes.sum()), [], "und", 0.0
-            if total and names:
-                share = np.bincount(path, weights=sizes, minlength=len(names))
-                lang, score = names[int(share.argmax())], float(share.max() / total)
-                edges = np.concatenate([[0], np.flatnonzero(np.diff(path)) + 1, [len(path)]])
-                sums = np.add.reduceat(sizes, edges[:-1])
-                spans = [
-                    {"lang": names[path[a]], "first": int(a), "words": int(b - a), "letters": int(n)}
-                    for a, b, n in zip(edges, edges[1:], sums)
-                ]
-            out["lang_pred"].append(lang)
-            out["score"].append(score)
-            out["lang_spans"].append(spans)
-        return {"doc_id": batch.column("doc_id")} | out
+        return {"doc_id": batch.column("doc_id")} | _verdicts(ready[0], utf8(batch.column("text")))
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return map_batches(narrow, f"doc_id bigint, lang_pred string, score double, lang_spans {SPANS}", each)
 
 
+def identified(docs: DataFrame, model: dict, penalty: float = PENALTY) -> DataFrame:
+    """The rows of ``docs`` whose text has a language, with all their columns as they are; null ``text`` has none."""
+    import pyarrow as pa
+
+    ready: list[Labeller] = []
+
+    def run(batches):
+        for batch in slices(batches):
+            if not ready:
+                ready.append(Labeller(model, penalty))
+            found = _verdicts(ready[0], utf8(batch.column("text")))["lang_pred"]
+            yield batch.filter(pa.array([lang != UNKNOWN for lang in found]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out() -> Column:
     """Rows whose language is never learned; a row without doc_id is not one of them."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -239,7 +239,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
     docs = docs.drop("n_ids", "ids")
     rest = [f for f in docs.schema.fields if f.name != "text"]
-    schema = StructType(rest).add("n_ids", LongType()).add("ids", ArrayType(IntegerType()))
+    schema = StructType(list(rest)).add("n_ids", LongType()).add("ids", ArrayType(IntegerType()))
 
     def each(batch):
         coder = Transducer.of(model)
@@ -255,7 +255,7 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
     from pyspark.sql.types import StringType, StructType
 
     rest = [f for f in rows.schema.fields if f.name not in ("ids", "text")]
-    schema = StructType(rest).add("text", StringType())
+    schema = StructType(list(rest)).add("text", StringType())
 
     def each(batch):
         coder = Transducer.of(model)

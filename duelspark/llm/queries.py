@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelspark.llm import chat, languages, licenses, merkle, mixing, near_dups, pieces, sharding, token_ids
+from duelspark.llm import chat, languages, licenses, merkle, mixing, near_dups, pieces, sharding, token_ids, topk
 from duelspark.llm.sql import ORACLE
 from duelspark.session import work_path
 
@@ -37,6 +37,11 @@ def op2_rendezvous_shards(spark, folder):
     )
 
 
+def op3_cover_tree_topk(spark, folder):
+    """The five best of every fiftieth vector."""
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op4_sentencepiece(spark, folder):
     """All documents encoded by the transducer and decoded again."""
     return pieces.encoded_digest(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
@@ -115,6 +120,7 @@ QUERIES = {
     for fn in (
         op1_token_ids,
         op2_rendezvous_shards,
+        op3_cover_tree_topk,
         op4_sentencepiece,
         op5_license_scan,
         op6_chat_format,

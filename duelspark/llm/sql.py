@@ -76,6 +76,17 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard::INT AS sha
 FROM placed
 """
 
+OP3 = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, d.vec_id, list_dot_product(q.v, d.v)::BIGINT AS score
+    FROM vectors q JOIN vectors d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
 _ESCAPED = "regexp_replace({0}, '([<\\[])(\\\\*(?:\\||/?s>|/?INST\\]|</?SYS>>))', '\\1\\\\\\2', 'g')"
 
 OP6 = f"""
@@ -138,4 +149,4 @@ keyed AS ({hashes("copied", ["doc_id", "1::BIGINT", "0::BIGINT", "copy::BIGINT"]
 SELECT doc_id, text, lang, source, n_chars, rate, copies, copy, {_SIGNED} AS shuffle_key FROM keyed
 """
 
-ORACLE = {"op2_rendezvous_shards": OP2, "op6_chat_format": OP6, "op9_minhash_dedup": OP9, "op10_mix_sources": OP10}
+ORACLE = {"op2_rendezvous_shards": OP2, "op3_cover_tree_topk": OP3, "op6_chat_format": OP6, "op9_minhash_dedup": OP9, "op10_mix_sources": OP10}
