@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from duelspark.session import stage
+
 #: A larger mean is split into equal parts drawn apart, so that exp(-mean) stays far from zero.
 MOST_MEAN = 500.0
 
@@ -32,20 +34,14 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame
         given = F.lit(0.0)
         for name, weight in weights.items():
             given = F.when(F.col("_source").eqNullSafe(F.lit(name)) & (F.col("size") > 0), F.lit(float(weight))).otherwise(given)
-    sizes = sizes.withColumn("weight", given)
-    all_ = sizes.agg(F.sum("size").alias("_all"), F.sum("weight").alias("_weights"))
-    # One row is joined to each source.
+    sizes = stage(sizes.withColumn("weight", given), "source-sizes")
+    total, weights_ = sizes.agg(F.sum("size"), F.sum("weight")).first()
     rate = (
         F.when(F.col("size") == 0, F.lit(1.0))
-        .when(F.col("_weights") == 0, F.lit(0.0))
-        .otherwise(F.col("weight") / F.col("_weights") * F.col("_all") / F.col("size"))
-    )
-    one = F.lit(1)
-    return (
-        sizes.withColumn("_one", one)
-        .join(F.broadcast(all_.withColumn("_one", one)), "_one")
-        .select("_source", rate.alias("rate"))
+        .when(F.lit(not weights_), F.lit(0.0))
+        .otherwise(F.col("weight") / F.lit(weights_) * F.lit(total) / F.col("size"))
     )
+    return sizes.select("_source", rate.alias("rate"))
 
 
 def cumulated(mean: Column) -> Column:

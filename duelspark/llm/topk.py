@@ -168,8 +168,8 @@ class Walk:
                 self.least[n] = max(self.least[n], float(s[top[-1]]))
 
 
-def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
-    """``rows`` (id, v) as cover trees of about ``size`` points, numbered in ``name``."""
+def _blocks(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
+    """``rows`` (id, v) as cover trees of about ``size`` points, numbered in ``name`` below the returned count."""
     count = rows.count() // size + 1
     made = f"{name} bigint, {NODES}"
     schema = arrow_schema(made)
@@ -187,7 +187,7 @@ def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
         return pa.Table.from_batches([batch])
 
     placed = rows.withColumn(name, F.pmod(F.xxhash64("id", "v"), F.lit(count)))
-    return stage(placed.groupBy(name).applyInArrow(build, made), f"trees-{name}")
+    return stage(placed.groupBy(name).applyInArrow(build, made), f"trees-{name}"), count
 
 
 def _walked(pairs: DataFrame, blocks: DataFrame, groups: DataFrame, least: DataFrame | None, k: int) -> DataFrame:
@@ -239,17 +239,12 @@ def top_k(
     data = stage(data.withColumn("_n", place).filter(F.col("_n") <= k + 1).drop("_n"), "topk-vectors")
     dims = data.agg(F.max(F.size("v"))).first()[0] or 1
     size = max(64, BLOCK_VALUES // dims)
-    blocks = _blocks(data, size, "block")
-    groups = _blocks(stage(queries.distinct(), "topk-queries"), size, "group")
-
-    every = groups.select("group")
-    numbers = blocks.select("block")
-    count = numbers.count()
-    # All groups meet all blocks, as numbers; neither has more than one row per bounded tree.
-    listed = numbers.agg(F.sort_array(F.collect_list("block")).alias("all")).withColumn("_one", F.lit(1))
-    pairs = every.withColumn("_one", F.lit(1)).join(listed, "_one")
-    start = F.get("all", F.pmod(F.col("group"), F.lit(max(1, count))).cast("int"))
-    pairs = stage(pairs.select("group", F.explode("all").alias("block"), start.alias("start")), "topk-pairs")
+    blocks, count = _blocks(data, size, "block")
+    groups, _ = _blocks(stage(queries.distinct(), "topk-queries"), size, "group")
+
+    # All groups meet all blocks: as numbers first, one row per pair of bounded trees.
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
+    pairs = groups.select("group", F.pmod(F.col("group"), F.lit(count)).alias("start"), every.alias("block"))
     first = stage(_walked(pairs.filter("block = start").select("block", "group"), blocks, groups, None, k), "topk-first")
 
     kth = (

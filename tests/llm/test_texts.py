@@ -1,0 +1,388 @@
+"""Operators that read texts, against plain versions of what they compute."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from duelspark.llm import languages, licenses, merkle, near_dups, pieces, token_ids
+from duelspark.llm.queries import QUERIES
+from duelspark.session import work_path
+
+FOLDER = "/root/testdata/sf0.001"
+WORD_BPE, PIECE_BPE = (public_tokenizers.path(name) for name in ("word_bpe_49k.json", "piece_bpe_32k.model"))
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+ODD_TEXTS = [
+    "", " ", "  a  b ", "don't STOP 'Sun l'été É×÷", "<|endoftext|> <|ENDOFTEXT|>x<|startoftext|>y", "日本語 text²3 İI ſ",
+    "\x1c\x1fa\x85b\xa0c", "≮ …, x…, “Hi” é", "'re're''s ''ll", "Σας ΣΑΣ ﬁ", "▁a▁▁b ▁", "&&&& $$$ 12,345.67", "a" * 3000,
+    "\x00\x01\x7f", "word " * 20_000, "\n\n  x\ty\n", "🙂🙂",
+]
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, None, "s", len(t or "")) for i, t in rows], DOCS)
+
+
+def corpus(spark):
+    return sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect())
+
+
+# token ids
+
+
+def test_encoder_equals_the_library_on_whole_texts(spark):
+    coder = token_ids.Encoder(WORD_BPE)
+    for text in ODD_TEXTS + [t for _, t in corpus(spark)]:
+        want = coder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(coder.encode(text.encode()), "<u4").tolist() == want
+
+
+def test_token_query(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer, start = Tokenizer.from_file(WORD_BPE), 0
+    got = {r.doc_id: r for r in QUERIES["op1_token_ids"](spark, FOLDER).collect()}
+    for doc, text in corpus(spark):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        r = got.pop(doc)
+        assert (r.start, r.n_tokens) == (start, len(ids))
+        assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+    assert not got
+
+
+def test_token_store_of_odd_rows(spark):
+    rows = [(3, None), (3, "b"), (None, "c d"), (1, ""), (2, "long " * 30_000), (3, "b")]
+    path = work_path(spark, "test")
+    token_ids.write(docs(spark, rows).withColumn("ids", F.lit("clash")), path, WORD_BPE, 2)
+    got = sorted(token_ids.read(spark, path).collect(), key=lambda r: r.start)
+    assert [(r.doc_id, r.n_tokens) for r in got] == [(None, 3), (1, 1), (2, 30_001), (3, 1), (3, 2), (3, 2)]
+    assert [r.start for r in got] == [0, *itertools.accumulate(r.n_tokens for r in got)][:-1]
+    one = token_ids.read(spark, path, only=[2]).collect()
+    assert [(r.doc_id, r.start, r.n_tokens) for r in one] == [(2, 4, 30_001)]
+    empty = work_path(spark, "test")
+    token_ids.write(docs(spark, rows).limit(0), empty, WORD_BPE, 2)
+    assert token_ids.read(spark, empty).count() == 0
+
+
+def test_token_blocks_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(token_ids, "BLOCK_DOCS", 3)
+    path = work_path(spark, "test")
+    token_ids.write(docs(spark, [(i, f"text {i}") for i in range(20)]), path, WORD_BPE, 70_000)
+    blocks = token_ids.blocks(spark, path).collect()
+    assert len(blocks) > 5 and all(len(b.docs) <= 3 and len(b.offsets) == len(b.docs) + 1 and b.width == 4 for b in blocks)
+    assert len({b.dictionary for b in blocks}) == 1
+
+
+# pieces
+
+
+def test_transducer_equals_the_library(spark):
+    import sentencepiece
+
+    library, coder = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE), pieces.Transducer(PIECE_BPE)
+    rng = random.Random(2)
+    parts = ["a", "b", "e", "th", "in", "▁", " ", "  ", "er", "1", "é", "ing", ".", "on", "日", "<", "s>", "\n", "&"]
+    texts = [t for t in ODD_TEXTS if "\x00" not in t] + [t for _, t in corpus(spark)]
+    texts += ["".join(rng.choice(parts) for _ in range(150)) for _ in range(100)]
+    for text in texts:
+        ids = np.frombuffer(coder.encode(text.encode()), "<u4")
+        assert ids.tolist() == library.encode(text, num_threads=1), text[:80]
+        assert coder.decode(ids).decode() == text.replace("▁", " ")
+
+
+def test_neighbours_are_what_merges_leave():
+    coder, rng = pieces.Transducer(PIECE_BPE), random.Random(4)
+    short = [p for p in coder.ids if len(p) < 4]
+    for _ in range(5000):
+        pair = rng.choice(short), rng.choice(short)
+        assert coder._met(pair) == (coder.merged("".join(pair)) == list(pair)), pair
+
+
+def test_unigram_path_has_the_least_weight():
+    coder = pieces.Transducer(PIECE_BPE)
+    coder.merges = False
+    coder.scores = {"a": -1.0, "b": -1.0, "ab": -1.5, "ba": -1.2, "aba": -4.0}
+    coder.ids = {p: n for n, p in enumerate(coder.scores)}
+    coder.trie = {}
+    for piece in coder.ids:
+        node = coder.trie
+        for c in piece:
+            node = node.setdefault(c, {})
+        node[""] = piece
+    for text in map("".join, itertools.product("abx", repeat=5)):
+        def best(rest):
+            if not rest:
+                return 0.0
+            options = [best(rest[len(p):]) - s for p, s in coder.scores.items() if rest.startswith(p)]
+            return min(options or [pieces.BYTE_WEIGHT + best(rest[1:])])
+        weight = sum(-coder.scores.get(p, -pieces.BYTE_WEIGHT) for p in coder.path(text))
+        assert weight == pytest.approx(best(text)) and "".join(coder.path(text)) == text
+
+
+def test_pieces_round_trip(spark):
+    rows = docs(spark, [(n, t) for n, t in enumerate(ODD_TEXTS) if "▁" not in t] + [(None, None), (1, "x"), (1, "x")])
+    rows = rows.withColumn("ids", F.lit("clash"))
+    coded = pieces.encode(rows, PIECE_BPE)
+    assert coded.columns == ["doc_id", "lang", "source", "n_chars", "n_ids", "ids"]
+    back = sorted((r.text for r in pieces.decode(coded, PIECE_BPE).collect()))
+    assert back == sorted(r.text or "" for r in rows.collect())
+    assert pieces.encode(rows.limit(0), PIECE_BPE).count() == 0
+    digest = QUERIES["op4_sentencepiece"](spark, FOLDER)
+    assert digest.filter("exact").count() == len(corpus(spark))
+
+
+# licenses
+
+
+def plain_places(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    found = []
+    for label, phrase in licenses.PHRASES:
+        p = phrase.split()
+        found += [(i, label) for i in range(len(words) - len(p) + 1) if words[i : i + len(p)] == p]
+    return len(words), sorted(found)
+
+
+def test_license_phrases_against_plain_search(spark):
+    rng = random.Random(1)
+    bits = ["under the MIT License", "Apache License, Version 2", "cc-by-nc", "cc", "by", "under the", "license", "xx", "É", "2.0"]
+    texts = [" ".join(rng.choice(bits) for _ in range(40)) for _ in range(100)] + ODD_TEXTS + [t for _, t in corpus(spark)]
+    got = {r.doc_id: r for r in licenses.scan(docs(spark, list(enumerate(texts)))).collect()}
+    for n, text in enumerate(texts):
+        n_words, places = plain_places(text)
+        assert got[n].n_words == n_words
+        assert sorted((p.start, p.label) for p in got[n].places) == places
+
+
+def test_matching_statistics_against_all_substrings():
+    rng = random.Random(3)
+    for _ in range(100):
+        texts = [[rng.randrange(3) for _ in range(rng.randrange(1, 9))] for _ in range(rng.randrange(1, 5))]
+        every = {tuple(t[i:j]) for t in texts for i in range(len(t)) for j in range(i + 1, len(t) + 1)}
+        words = [rng.randrange(4) for _ in range(20)]
+        for end, (_, matched) in enumerate(licenses.Automaton(texts).read(words)):
+            assert matched == max([k for k in range(end + 2) if tuple(words[end + 1 - k : end + 1]) in every], default=0)
+
+
+def test_license_spans():
+    scanner = licenses.Scanner()
+    for label, text in licenses.TEMPLATES:
+        found = scanner.scan(f"foo bar {text} baz".encode())
+        assert (label, 2, 1.0) in [(s["label"], s["start"], s["cover"]) for s in found["spans"]], label
+    mit = licenses.TEMPLATES[0][1].split()
+    gap = " ".join(mit[:30] + ["ACME", "Inc"] + mit[33:])
+    assert [s["label"] for s in scanner.scan(gap.encode())["spans"]] == ["mit"]
+    assert scanner.scan(" ".join(mit[:20]).encode())["spans"] == []
+    assert 0 < scanner.scan(" ".join(mit[:20]).encode())["score"] < 0.5
+    assert scanner.scan(b"under the mit license")["score"] == 1.0
+
+
+def test_license_scan_of_odd_rows(spark):
+    rows = docs(spark, [(None, None), (1, ""), (1, ""), (2, "license " * 50_000)]).withColumn("spans", F.lit(1))
+    got = licenses.scan(rows).collect()
+    assert sorted(r.n_words for r in got) == [0, 0, 0, 50_000] and all(r.places == [] and r.score < 1 for r in got)
+    assert licenses.scan(rows.limit(0)).count() == 0
+
+
+# languages
+
+
+def test_viterbi_against_all_paths():
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        scores = [(rng.integers(-5, 1, size=(rng.integers(0, 6), 3)) + rng.random()).astype(np.float32) for _ in range(5)]
+        for s, path in zip(scores, languages.viterbi(scores, 2.5)):
+            value = lambda p: sum(s[i, x] for i, x in enumerate(p)) - 2.5 * sum(a != b for a, b in zip(p, p[1:]))
+            best = max((value(p) for p in itertools.product(range(3), repeat=len(s))), default=0)
+            assert len(path) == len(s) and value(path.tolist()) == pytest.approx(best, abs=1e-4)
+
+
+def test_language_accuracy(spark):
+    folder = "/root/testdata/sf0.01"
+    found = QUERIES["op7_language_id"](spark, folder)
+    truth = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    rows = found.join(truth, "doc_id").filter("held_out").collect()
+    assert len(rows) > 100 and sum(r.lang == r.lang_pred for r in rows) >= 0.98 * len(rows)
+
+
+def test_language_spans_and_odd_rows(spark):
+    model = languages.learn(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    text = {r.lang: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").filter("n_chars > 600").collect()}
+    mixed = text["en"][:400] + " " + text["de"][:400]
+    rows = [(1, mixed), (1, mixed), (None, None), (3, "123 …!"), (4, "Привет мир"), (5, "the and of " * 60_000)]
+    got = languages.identify(docs(spark, rows).withColumn("score", F.lit("clash")), model).collect()
+    by = {(r.doc_id, r.lang_pred): r for r in got}
+    assert [s.lang for s in next(r for r in got if r.doc_id == 1).lang_spans][:2] == ["en", "de"]
+    assert (None, "und") in by and (3, "und") in by and by[3, "und"].score == 0 and by[5, "en"].score == 1
+    assert all(0 <= r.score <= 1 for r in got) and len(got) == 6
+    for r in got:
+        assert sum(s.letters for s in r.lang_spans) == sum(c.isalpha() for c in dict(rows)[r.doc_id] or "")
+    assert languages.identify(docs(spark, rows).limit(0), model).count() == 0
+    nothing = languages.learn(docs(spark, rows))
+    assert {r.lang_pred for r in languages.identify(docs(spark, rows), nothing).collect()} == {"und"}
+
+
+def test_scripts_narrow_candidates(spark):
+    rows = [(n, t, lang, "s", 0) for n, (t, lang) in enumerate([("мама мыла раму", "ru"), ("the cat sat", "en"), ("la vida es", "es")] * 5)]
+    model = languages.learn(spark.createDataFrame(rows, DOCS))
+    got = {r.doc_id: r.lang_pred for r in languages.identify(docs(spark, [(1, "щука"), (2, "zzz qqq")]), model).collect()}
+    assert got[1] == "ru" and got[2] != "ru"
+
+
+# fingerprints
+
+
+def test_fingerprint_query(spark):
+    rows = corpus(spark)
+    got = {r.doc_id: r for r in QUERIES["op8_merkle_fingerprints"](spark, FOLDER).collect()}
+    roots = {}
+    for (doc, text), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        r, cut = got.pop(doc), len(text) // 4
+        edited = text[: len(text) - cut] + after[:cut]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (merkle.tree(text)[0].hex(), merkle.tree(edited)[0].hex())
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        if len(text) > 200:
+            assert r.near_edited > 0.6 and (text == after or r.near_next < 0.3)
+            assert all(e.end > 0.6 * len(text) for e in r.edits)
+        assert roots.setdefault(r.fingerprint, text) == text
+    assert not got
+
+
+def test_trees_locate_edits():
+    paragraphs = [f"Line {n} says that {n * 7} things go on. They end at {n}.\n" + "\n" * (n % 5 == 0) for n in range(60)]
+    text = "".join(paragraphs)
+    edited = text.replace("things go on. They end at 33", "THINGS go on. They end at 33")
+    near, edits = merkle.compare(merkle.tree(text), merkle.tree(edited))
+    assert 0.98 < near < 1 and len(edits) == 1
+    assert "things" in text[edits[0][0] : edits[0][1]] and edits[0][1] - edits[0][0] < 60
+    moved = "".join(paragraphs[30:] + paragraphs[:30])
+    assert merkle.compare(merkle.tree(text), merkle.tree(moved))[0] > 0.95
+    inserted = "New start of the text.\n" + text
+    assert merkle.compare(merkle.tree(text), merkle.tree(inserted))[0] > 0.95
+    for a in ODD_TEXTS:
+        root = merkle.tree(a)
+        assert root[merkle.CHARS] == len(a) and merkle.compare(root, merkle.tree(a)) == (1.0, [])
+        assert (merkle.compare(root, merkle.tree(""))[0] == 1) == (a == "")
+    assert merkle.tree("a b.\n")[0] != merkle.tree("a b. \n")[0] != merkle.tree("a  b.\n")[0]
+
+
+def test_edited_trees_equal_fresh_ones():
+    rng = random.Random(7)
+    bits = ["word ", "two words. ", "\n", "\n\n", "end!\n", "x" * 50, "é? "]
+    for _ in range(300):
+        text, after = ("".join(rng.choice(bits) for _ in range(rng.randrange(30))) for _ in range(2))
+        known = {}
+        root, cut = merkle.tree(text, known), len(text) // 4
+        edited = text[: len(text) - cut] + after[:cut]
+        assert merkle.changed(root, edited, len(text) - cut, known) == merkle.tree(edited)
+
+
+@pytest.mark.parametrize("parts", ["1", "3", "8"])
+def test_next_documents_of_odd_rows(spark, parts):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        rows = [(7, "q" * 40), (None, "n" * 8), (7, "p" * 40), (9, None), (7, "q" * 40), (12, "z" * 100_000), (3, "")]
+        got = merkle.edited_by_next(docs(spark, rows).withColumn("part", F.lit("clash"))).collect()
+        order = sorted(((r[0] if r[0] is not None else -1, r[1] or "") for r in rows))
+        want = []
+        for (doc, text), (_, after) in zip(order, order[1:] + order[:1]):
+            edited = text[: len(text) - len(text) // 4] + after[: len(text) // 4]
+            want.append((doc, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+        assert sorted((r.doc_id if r.doc_id is not None else -1, r.n_chars, r.edited_sha256) for r in got) == sorted(want)
+        assert merkle.edited_by_next(docs(spark, rows).limit(0)).count() == 0
+        one = merkle.edited_by_next(docs(spark, [(5, "abcdefgh")])).collect()
+        assert one[0].edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest() and one[0].near_next == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_fingerprint_trees(spark):
+    got = {r.doc_id: r for r in merkle.fingerprint(docs(spark, [(1, "One. Two.\n\nThree."), (2, None), (3, "One. Two.\n\nThree.")])).collect()}
+    assert got[1].fingerprint == got[3].fingerprint != got[2].fingerprint and got[2].sections == []
+    assert sum(s.chars for s in got[1].sections) == 17
+
+
+# near duplicates
+
+
+def plain_components(rows, words, percent):
+    sets = {}
+    for doc, text in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets[doc] = {tuple(w[i : i + words]) for i in range(len(w) - words + 1)} or ({tuple(w)} if w else set())
+    label = {d: d for d in sets}
+    changed = True
+    pairs = [
+        (a, b) for a, b in itertools.combinations(sorted(sets), 2)
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    ]
+    while changed:
+        changed = False
+        for a, b in pairs:
+            low = min(label[a], label[b])
+            changed |= label[a] != low or label[b] != low
+            label[a] = label[b] = low
+    return {d: (len(sets[d]), label[d]) for d in sets}
+
+
+@pytest.mark.parametrize("few", [32, 3])
+def test_near_duplicates_against_all_pairs(spark, monkeypatch, few):
+    monkeypatch.setattr(near_dups, "FEW", few)
+    rng = random.Random(5)
+    base = [[f"w{rng.randrange(300)}" for _ in range(60)] for _ in range(6)]
+    rows = []
+    for n in range(240):
+        words = list(base[n % 6])
+        for _ in range(rng.randrange(0, 7)):
+            words[rng.randrange(60)] = f"x{rng.randrange(9)}"
+        rows.append((n, " ".join(words).title() if n % 2 else "\n".join(words)))
+    rows += [(500 + n, t) for n, t in enumerate(["", None, "one", "One", "one two", " \t", "one two three", "a b c d e f " * 3000])]
+    odd = docs(spark, rows).withColumn("key", F.lit("clash")).withColumn("component_id", F.lit(1))
+    for words in (2, 5) if few > 3 else (2,):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dups.near_duplicates(odd, words=words).collect()}
+        assert got == plain_components(rows, words, 80)
+
+
+def test_near_duplicates_of_odd_rows(spark):
+    rows = [(None, "a b c"), (None, None), (4, "a b c"), (4, "a b c"), (2, ""), (1, "z")]
+    got = sorted(near_dups.near_duplicates(docs(spark, rows), words=2).collect(), key=lambda r: (r.doc_id or 0, r.n_shingles))
+    assert [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got] == [
+        (None, 0, None, True), (None, 2, 4, False), (1, 1, 1, True), (2, 0, 2, True), (4, 2, 4, True), (4, 2, 4, True),
+    ]
+    assert near_dups.near_duplicates(docs(spark, rows).limit(0)).count() == 0
+
+
+def test_components_of_chains(spark):
+    links = [(n, n + 1) for n in range(1, 40) if n % 13] + [(100, 7)]
+    got = {r.id: r.component for r in near_dups.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    starts = {n: 1 + 13 * ((n - 1) // 13) for n in range(1, 40)}
+    assert got == starts | {100: 1}
+
+
+def test_tensored_tables_find_pairs():
+    rng, coder = random.Random(9), near_dups.Shingler(2)
+    words = [f"w{n}" for n in range(4000)]
+    missed = 0
+    for _ in range(40):
+        text = [rng.choice(words) for _ in range(120)]
+        other = list(text)
+        for at in rng.sample(range(120), 5):
+            other[at] = rng.choice(words)
+        a, b = coder.sets([" ".join(t).encode() for t in (text, other)])
+        keys = []
+        for s in (a, b):
+            factors = near_dups._odd(2 * near_dups.HALF * near_dups.ROWS, 3).reshape(-1, near_dups.ROWS)
+            keys.append([tuple(int((s * f).min()) for f in row) for row in factors])
+        same = [x == y for x, y in zip(*keys)]
+        missed += not (any(same[: near_dups.HALF]) and any(same[near_dups.HALF :]))
+    assert missed == 0
