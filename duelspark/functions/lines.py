@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 # Fixed values of the log format.
 PREFIX = "[UnityCrossThreadLogger]"
 DECK_CALL = PREFIX + "==> DeckUpsertDeckV2"
-START_REGEX = (
-    r"^\[UnityCrossThreadLogger\]STATE CHANGED "
-    r'\{"old":"ConnectedToMatchDoor_(?:ConnectedToGRE_Waiting|ConnectingToGRE)","new":"Playing"\}'
-)
+START_TEXTS = [
+    PREFIX + 'STATE CHANGED {"old":"ConnectedToMatchDoor_ConnectedToGRE_Waiting","new":"Playing"}',
+    PREFIX + 'STATE CHANGED {"old":"ConnectedToMatchDoor_ConnectingToGRE","new":"Playing"}',
+]
 END_TEXT = PREFIX + 'STATE CHANGED {"old":"Playing","new":"MatchCompleted"}'
 UNWANTED = ["ClientToGreuimessage", "ClientToGremessage", "==>", "Client.TcpConnection.Close"]
 # Characters that Python counts as whitespace.
@@ -31,7 +31,7 @@ def strip(line: Column) -> Column:
 
 
 def is_start(line: Column) -> Column:
-    return line.rlike(START_REGEX)
+    return line.startswith(START_TEXTS[0]) | line.startswith(START_TEXTS[1])
 
 
 def is_end(line: Column) -> Column:
@@ -55,14 +55,14 @@ def is_unwanted(line: Column) -> Column:
 
 def metadata(line: Column) -> Column:
     """Header text without the prefix, up to the first brace."""
-    body = F.substring(line, len(PREFIX) + 1, 1 << 30)
+    body = F.substr(line, F.lit(len(PREFIX) + 1))
     return F.substring_index(body, "{", 1)
 
 
 def inline_payload(line: Column) -> Column:
     """Text from the first brace on; NULL when the line has none."""
     at = F.instr(line, "{")
-    return F.when(at > 0, F.substring(line, at, F.lit(1 << 30)))
+    return F.when(at > 0, F.substr(line, at))
 
 
 def metadata_parts(meta: Column) -> Column:

@@ -13,7 +13,9 @@ GAME_PATH = "$.greToClientEvent.greToClientMessages"
 ROOM_EVENT = "MatchGameRoomStateChangedEvent"
 ROOM_PATH = "$.matchGameRoomStateChangedEvent.gameRoomInfo"
 DECK_EVENT = "deck_list"
-SUMMARIZED = "Message summarized because"
+SUMMARIZED = (
+    "[Message summarized because one or more GameStateMessages exceeded the 50 GameObject or 50 Annotation limit.]"
+)
 
 
 def json_string(text: Column) -> Column:
@@ -27,15 +29,14 @@ def wrap_list(text: Column) -> Column:
 
 
 def is_json(text: Column) -> Column:
-    """Whether the text is one whole JSON object or array.
+    """Whether the text is one whole JSON value and nothing else.
 
-    Keys and lengths are read by walking the text to its end without building it.
+    A reader stops at the end of the first value. The text is therefore read as
+    the only element of a list, and as a field with another one behind it.
     """
-    return F.coalesce(
-        (text.startswith("{") & text.endswith("}") & F.json_object_keys(text).isNotNull())
-        | (text.startswith("[") & text.endswith("]") & F.json_array_length(text).isNotNull()),
-        F.lit(False),
-    )
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    ended = F.get_json_object(F.concat(F.lit('{"p":'), text, F.lit(',"e":1}')), "$.e") == "1"
+    return F.coalesce(alone & ended, F.lit(False))
 
 
 def project(event: Column, payload: Column) -> Column:
@@ -54,7 +55,8 @@ def project(event: Column, payload: Column) -> Column:
 
 
 def is_summarized(payload: Column) -> Column:
-    return payload.contains(SUMMARIZED)
+    """Whether a payload is the server's note, bare or as a JSON string, and not one that mentions it."""
+    return payload.startswith(SUMMARIZED) | payload.startswith('"' + SUMMARIZED)
 
 
 def messages(payload: Column) -> Column:

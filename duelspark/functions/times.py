@@ -11,8 +11,11 @@ LOG_ZONE = "America/Toronto"
 
 
 def wall_clock(text: Column) -> Column:
-    """Local time as printed, without a zone; NULL when it does not parse."""
-    return F.try_to_timestamp(text, F.lit(LOG_TIME))
+    """Local time as printed, kept as if it were UTC; NULL when it does not parse.
+
+    The offset is part of the parsed text, so the session's zone plays no role.
+    """
+    return F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(LOG_TIME + " xx"))
 
 
 def instant(local: Column, zone: str | None = LOG_ZONE) -> Column:

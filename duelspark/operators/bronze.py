@@ -68,7 +68,11 @@ def _frame(lines: DataFrame) -> DataFrame:
         classify(lines)
         .select(
             F.coalesce("source_file", F.lit("")).alias("source_file"),
-            F.coalesce("block", F.lit(0)).cast("bigint").alias("block"),
+            F.struct(
+                F.coalesce("block.part", F.lit(0)).cast("bigint").alias("part"),
+                F.coalesce("block.file", F.lit("")).alias("file"),
+                F.coalesce("block.start", F.lit(0)).cast("bigint").alias("start"),
+            ).alias("block"),
             "pos", "kind", "line",
         )
         .repartition(*BLOCK)
@@ -94,6 +98,7 @@ def block_carry(frame: DataFrame) -> DataFrame:
     marker = kind.isin(L.START, L.END)
     summary = frame.groupBy(*BLOCK).agg(
         F.sum((kind == L.START).cast("int")).alias("n_starts"),
+        F.max("line_no").alias("n_lines"),
         F.max_by(kind, F.when(marker, pos)).alias("end_mark"),
         F.max_by(F.when(kind == L.HEAD, line), pos).alias("tail_head"),
         F.min_by(kind, pos).alias("first_kind"),
@@ -118,6 +123,7 @@ def block_carry(frame: DataFrame) -> DataFrame:
             *BLOCK,
             "mark_in",
             F.coalesce(F.sum("n_starts").over(before), F.lit(0)).alias("games_in"),
+            F.coalesce(F.sum("n_lines").over(before), F.lit(0)).alias("lines_in"),
             F.lag("tail_head").over(order).alias("head_in"),
             F.lead("first_kind").over(order).alias("kind_out"),
             F.last(F.when(F.col("last_deck").isNotNull(), F.col("block")), True).over(before).alias("deck_block"),
@@ -161,7 +167,7 @@ def in_game(lines: DataFrame) -> DataFrame:
             "source_file",
             (F.col("games_in") + F.col("starts")).cast("int").alias("game_num"),
             "pos",
-            (F.col("block") + F.col("line_no")).alias("line_ord"),
+            (F.col("lines_in") + F.col("line_no")).alias("line_ord"),
             "kind",
             "line",
             F.when(F.col("line_no") == 1, F.col("head_in")).otherwise(F.col("prev_head")).alias("head"),
@@ -171,7 +177,7 @@ def in_game(lines: DataFrame) -> DataFrame:
     )
 
 
-def _events(lines: DataFrame) -> DataFrame:
+def events(lines: DataFrame) -> DataFrame:
     """Lines inside games with header fields and payload.
 
     ``raw`` is the payload text of an event and NULL on other lines; ``payload``
@@ -198,6 +204,11 @@ def _events(lines: DataFrame) -> DataFrame:
 
 def bronze(lines: DataFrame) -> DataFrame:
     """One row per server event inside a game, plus one deck row per pending deck."""
+    return bronze_of(events(lines))
+
+
+def bronze_of(found: DataFrame) -> DataFrame:
+    """As ``bronze``, from ``events``."""
     row = lambda sub, event, payload: F.struct(
         F.lit(sub).alias("sub"), event.alias("event"), payload.alias("payload")
     )
@@ -207,8 +218,7 @@ def bronze(lines: DataFrame) -> DataFrame:
     )
     event = F.when(F.col("payload").isNotNull(), row(1, F.col("h.event"), F.col("payload")))
     return (
-        _events(lines)
-        .withColumn("row", F.explode(F.array_compact(F.array(deck, event))))
+        found.withColumn("row", F.explode(F.array_compact(F.array(deck, event))))
         .select(
             *GAME,
             (F.col("line_ord") * 2 + F.col("row.sub")).alias("row_ord"),
@@ -222,11 +232,15 @@ def bronze(lines: DataFrame) -> DataFrame:
 
 def quarantine(lines: DataFrame) -> DataFrame:
     """Lines inside a game that look like events but cannot be read, with the reason."""
+    return quarantine_of(events(lines))
+
+
+def quarantine_of(found: DataFrame) -> DataFrame:
+    """As ``quarantine``, from ``events``."""
     kind = F.col("kind")
     followed = F.coalesce(F.col("next_kind") == L.TEXT, F.lit(False))
     return (
-        _events(lines)
-        .withColumn(
+        found.withColumn(
             "reason",
             F.when(kind == L.BAD, "header")
             .when((kind == L.HEAD) & ~followed, "no_payload")
@@ -241,8 +255,13 @@ def quarantine(lines: DataFrame) -> DataFrame:
 
 def file_manifest(files: DataFrame, lines: DataFrame) -> DataFrame:
     """Games and event rows per source; sources without events are kept and marked."""
+    return manifest_of(files, events(lines))
+
+
+def manifest_of(files: DataFrame, found: DataFrame) -> DataFrame:
+    """As ``file_manifest``, from ``events``."""
     count_if = lambda test: F.sum(F.when(test, 1).otherwise(0)).cast("bigint")
-    seen = _events(lines).groupBy("source_file").agg(
+    seen = found.groupBy("source_file").agg(
         count_if(F.col("kind") == L.START).alias("games"), F.count("payload").alias("rows")
     )
     zero = F.lit(0).cast("bigint")

@@ -6,14 +6,16 @@ from pyspark.sql import Column, DataFrame
 
 from duelspark.operators import decks as D
 from duelspark.operators import gold as X
+from duelspark.session import stage
 from duelspark.sources.store import Store
 
 
 def build(silver: dict[str, DataFrame], as_of: Column | None = None) -> dict[str, DataFrame]:
     matches, decks, players = silver["matches"], silver["decks"], silver["players"]
     hands, dim = silver["turn1_hands"], silver["dim_cards"]
-    stats = X.player_deck_stats(matches, hands, as_of)
-    cards = D.deck_cards(decks)
+    # Both are read by two tables or more and small next to what they come from.
+    stats = stage(X.player_deck_stats(matches, hands, as_of), "player-deck-stats")
+    cards = stage(D.deck_cards(decks), "deck-cards")
     return {
         "player_metrics": X.player_metrics(stats, players, decks),
         "deck_metrics": X.deck_metrics(stats, decks, players, cards, dim),

@@ -6,9 +6,7 @@ parser must give for the events the log was made from.
 
 from __future__ import annotations
 
-SUMMARY = (
-    "[Message summarized because one or more GameStateMessages exceeded the 50 GameObject or 50 Annotation limit.]"
-)
+from duelspark.functions.payloads import SUMMARIZED as SUMMARY
 
 TIME = "strftime(ts, '%-m/%-d/%Y %-I:%M:%S %p')"
 
@@ -170,7 +168,7 @@ WITH m AS (
   FROM m GROUP BY deck_id
 ), dc AS (
   SELECT deck_id, l_partkey AS arena_id, cast(sum(l_quantity) AS bigint) AS copies
-  FROM lineitem JOIN d ON l_orderkey = match_id GROUP BY ALL
+  FROM lineitem JOIN m ON l_orderkey = match_id GROUP BY ALL
 ), df AS (
   SELECT deck_id, arena_id, copies, p_size AS cmc, substr(p_type, 1, 1) AS colors
   FROM dc LEFT JOIN part ON p_partkey = arena_id
@@ -222,18 +220,19 @@ WITH c AS (
     '{' || p_size || '}' AS mana_cost, cast(p_size // 2 AS bigint) AS cmc,
     CASE WHEN p_partkey % 4 = 0 THEN '' ELSE substr('WUBRG', 1, p_partkey % 3) END AS colors,
     substr('WUBRG', 1, p_partkey % 5) AS color_identity, p_type AS type_line, p_brand AS set_code,
+    p_brand AS set_name, 'core' AS set_type,
     CASE WHEN p_partkey % 2 = 0 THEN 'common' ELSE 'rare' END AS rarity,
     p_partkey, p_size
   FROM part
 )"""
 
 CARD_COLUMNS = (
-    "arena_id, oracle_id, card_name, scryfall_uri, mana_cost, cmc, colors, color_identity, type_line, set_code, rarity"
+    "arena_id, oracle_id, card_name, scryfall_uri, mana_cost, cmc, colors, color_identity, type_line, set_code, set_name, set_type, rarity"
 )
 
 MODEL = """
 WITH s AS (
-  SELECT o_orderkey AS id FROM orders WHERE o_orderstatus = 'F'
+  SELECT o_orderkey AS id FROM orders WHERE o_orderstatus <> 'P'
   UNION ALL SELECT NULL FROM orders WHERE o_orderstatus = 'P'
 )"""
 
@@ -307,6 +306,7 @@ ORACLE = {
     "match_times": f"""
         SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS local_time,
           strftime({UTC.format('ts')}, '%Y-%m-%d %H:%M:%S') AS utc_time,
+          cast(epoch({UTC.format('ts')}) AS bigint) AS epoch,
           {SECONDS.format('ts')} - cast(epoch(TIMESTAMP '2024-01-01') AS bigint) AS seconds FROM events""",
     "match_format": GAMES + "SELECT user_id, game_num, game_format FROM ga",
     "matches": GAMES + FIRST_DECK + f"""
@@ -350,8 +350,9 @@ ORACLE = {
     "card_colors": CARD_SOURCE + "SELECT oracle_id, colors, color_identity FROM c",
     "local_cards": CARD_SOURCE + """
         SELECT arena_id, oracle_id, card_name AS name,
-          strftime(DATE '2020-01-01' + cast(p_size AS integer), '%Y-%m-%d') AS released_at, scryfall_uri, p_size / 2.0 AS cmc,
+          strftime(DATE '2020-01-01' + cast(p_size AS integer), '%Y-%m-%d') AS released_at, scryfall_uri, mana_cost, p_size / 2.0 AS cmc,
           CASE WHEN p_partkey % 4 = 0 THEN NULL WHEN p_partkey % 3 = 0 THEN '' WHEN p_partkey % 3 = 1 THEN 'W' ELSE 'W,U' END AS colors,
+          array_to_string(string_split(color_identity, ''), ',') AS color_identity, type_line, set_code, set_name, set_type, rarity,
           CASE WHEN p_partkey % 2 = 0 THEN 'legal' ELSE 'banned' END AS standard
         FROM c WHERE arena_id IS NOT NULL""",
     "player_metrics": GOLD + f"""
@@ -359,7 +360,7 @@ ORACLE = {
           count(*) FILTER (WHERE won) AS total_wins, count(*) FILTER (WHERE lost) AS total_losses,
           {_rate('won')} AS win_rate, {RECENT}, round(avg(duration_sec), 6) AS avg_duration_sec, {MULLIGANS},
           any_value(most_played_deck_id) AS most_played_deck_id, any_value(most_played_deck_name) AS most_played_deck_name,
-          strftime(max(start_time), '%Y-%m-%d') AS time_last_played
+          strftime(max(start_time), '%Y-%m-%d %H:%M:%S') AS time_last_played
         FROM f JOIN mp USING (player_id) LEFT JOIN customer ON cast(c_custkey AS varchar) = player_id
         WHERE n = 1 GROUP BY player_id""",
     "win_rate_30d": GOLD + f"SELECT player_id, {RECENT} FROM f GROUP BY player_id",

@@ -275,6 +275,7 @@ def match_times(spark, folder):
         "event_id",
         F.date_format(local, "yyyy-MM-dd HH:mm:ss").alias("local_time"),
         F.date_format(T.instant(local), "yyyy-MM-dd HH:mm:ss").alias("utc_time"),
+        F.unix_timestamp(T.instant(local)).alias("epoch"),
         T.seconds_between(F.lit("2024-01-01").cast("timestamp"), local).alias("seconds"),
     )
 
@@ -415,7 +416,7 @@ def _bulk(spark, folder) -> DataFrame:
 
 _CARD_COLUMNS = [
     "arena_id", "oracle_id", "card_name", "scryfall_uri", "mana_cost", "cmc", "colors", "color_identity",
-    "type_line", "set_code", "rarity",
+    "type_line", "set_code", "set_name", "set_type", "rarity",
 ]
 
 
@@ -444,7 +445,9 @@ def local_cards(spark, folder):
     card_bulk.write_cards(dims.local_cards(S.bulk_cards(S.table(spark, folder, "part"))), path)
     return spark.read.parquet(path).select(
         "arena_id", "oracle_id", "name", F.date_format("released_at", "yyyy-MM-dd").alias("released_at"),
-        "scryfall_uri", "cmc", joined("colors").alias("colors"), F.col("legalities")["standard"].alias("standard"),
+        "scryfall_uri", "mana_cost", "cmc", joined("colors").alias("colors"), joined("color_identity").alias("color_identity"),
+        "type_line", F.col("set").alias("set_code"), "set_name", "set_type", "rarity",
+        F.col("legalities")["standard"].alias("standard"),
     )
 
 
@@ -473,7 +476,7 @@ class _Gold:
 
     @property
     def cards(self) -> DataFrame:
-        return S.deck_cards(self.decks, self.lineitem)
+        return S.deck_cards(self.matches, self.lineitem)
 
     def players_rows(self, stats: DataFrame) -> DataFrame:
         return X.player_metrics(stats, self.players, self.decks)
@@ -489,7 +492,7 @@ def player_metrics(spark, folder):
         "player_id", "display_name", "total_matches", "total_wins", "total_losses", rounded("win_rate"),
         rounded("win_rate_30d"), rounded("avg_duration_sec"), *[rounded(c) for c in _MULLIGANS],
         "most_played_deck_id", "most_played_deck_name",
-        F.date_format("time_last_played", "yyyy-MM-dd").alias("time_last_played"),
+        F.date_format("time_last_played", "yyyy-MM-dd HH:mm:ss").alias("time_last_played"),
     )
 
 
@@ -574,10 +577,10 @@ def card_draw_chance(spark, folder):
 
 
 def _model(spark, folder) -> DataFrame:
-    """Order keys of one status, and a NULL for each order of another."""
+    """All orders: the keys of all but one status, and a NULL for each order of that one."""
     orders = S.table(spark, folder, "orders")
     return (
-        orders.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id"))
+        orders.filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("id"))
         .unionAll(orders.filter("o_orderstatus = 'P'").select(F.lit(None).cast("bigint").alias("id")))
     )
 

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelspark.functions import lines as L
+from duelspark.functions import payloads as P
 from duelspark.functions import times as T
 
-# Events of one block of a log; event ids rise with time.
+# Events of one block of a log, as if a file were split; event ids rise with time.
 BLOCK_EVENTS = 1 << 20
 
 # Given schemas save one footer-reading job per table.
@@ -145,11 +146,6 @@ def _game_state(me: dict[str, Column]) -> Column:
     return F.when((F.col("r") == 9) & (event % 5 == 0), '{"greToClientEvent":{}}').otherwise(body)
 
 
-SUMMARY_TEXT = (
-    "[Message summarized because one or more GameStateMessages exceeded the 50 GameObject or 50 Annotation limit.]"
-)
-
-
 def event_log(events: DataFrame) -> DataFrame:
     """One or two log lines per event; a log per user, ordered by event id."""
     e = classified_events(events)
@@ -173,7 +169,7 @@ def event_log(events: DataFrame) -> DataFrame:
     ).otherwise(
         F.array(
             F.concat(header, event),
-            F.when(r <= 2, _room(me)).when(r == 4, SUMMARY_TEXT).otherwise(_game_state(me)),
+            F.when(r <= 2, _room(me)).when(r == 4, P.SUMMARIZED).otherwise(_game_state(me)),
         )
     )
     lines = (
@@ -188,8 +184,10 @@ def event_log(events: DataFrame) -> DataFrame:
     )
     return e.select(
         F.format_string("user-%d", "user_id").alias("source_file"),
-        # Two units of room per event, see the contract of ``block``.
-        (F.floor(F.col("event_id") / BLOCK_EVENTS) * (2 * BLOCK_EVENTS)).cast("bigint").alias("block"),
+        F.struct(
+            F.lit(0).cast("bigint").alias("part"), F.lit("").alias("file"),
+            F.floor(F.col("event_id") / BLOCK_EVENTS).cast("bigint").alias("start"),
+        ).alias("block"),
         F.posexplode(lines).alias("n", "raw"),
         "event_id",
     ).select(
@@ -234,11 +232,11 @@ def decks(orders: DataFrame) -> DataFrame:
     ).withColumn("deck_name", F.format_string("Deck %d", "deck_id"))
 
 
-def deck_cards(decks: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Cards of each deck: the line items of its first order."""
+def deck_cards(matches: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Cards of each deck: the line items of all its orders."""
     items = lineitem.select("l_orderkey", F.col("l_partkey").alias("arena_id"), "l_quantity")
     return (
-        items.join(decks.select(F.col("match_id").alias("l_orderkey"), "deck_id"), "l_orderkey")
+        items.join(matches.select(F.col("match_id").alias("l_orderkey"), "deck_id"), "l_orderkey")
         .groupBy("deck_id", "arena_id")
         .agg(F.sum("l_quantity").cast("bigint").alias("copies"))
     )

@@ -10,13 +10,16 @@ from dataclasses import dataclass
 
 from pyspark.sql.types import StructType
 
-LINES = "source_file STRING, block BIGINT, pos BIGINT, line STRING"
+LINES = "source_file STRING, block STRUCT<part: BIGINT, file: STRING, start: BIGINT>, pos BIGINT, line STRING"
 
 BRONZE = (
     "source_file STRING, game_num INT, row_ord BIGINT, player_id STRING, "
     "timestamp STRING, event STRING, payload STRING"
 )
 
+# The columns of landed CSV files, in order.
+LANDING = "game_num INT, player_id STRING, timestamp STRING, event STRING, payload STRING"
+
 GAME = ["source_file", "game_num"]
 
 CARD_COUNT = "ARRAY<STRUCT<cardId: BIGINT, quantity: INT>>"
@@ -67,6 +70,17 @@ class TableSpec:
         return self.schema.fieldNames()
 
 
+BATCH = {
+    "bronze": TableSpec(BRONZE, ("source_file", "row_ord"), ("source_file", "game_num", "row_ord")),
+    "quarantine": TableSpec(
+        "source_file STRING, game_num INT, row_ord BIGINT, reason STRING, line STRING",
+        ("source_file", "row_ord"), ("source_file", "reason"),
+    ),
+    "manifest": TableSpec(
+        "source_file STRING, games BIGINT, `rows` BIGINT, status STRING", ("source_file",), ("source_file", "status")
+    ),
+}
+
 RATE = "DECIMAL(38, 9)"
 
 SILVER = {

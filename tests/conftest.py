@@ -6,15 +6,14 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from duelspark.functions import lines as L  # noqa: E402
+from duelspark.functions.payloads import SUMMARIZED  # noqa: E402
 from duelspark.session import build_session  # noqa: E402
 
-P = "[UnityCrossThreadLogger]"
-START_A = P + 'STATE CHANGED {"old":"ConnectedToMatchDoor_ConnectingToGRE","new":"Playing"}'
-START_B = P + 'STATE CHANGED {"old":"ConnectedToMatchDoor_ConnectedToGRE_Waiting","new":"Playing"}'
-END = P + 'STATE CHANGED {"old":"Playing","new":"MatchCompleted"}'
-SUMMARY = (
-    "[Message summarized because one or more GameStateMessages exceeded the 50 GameObject or 50 Annotation limit.]"
-)
+P = L.PREFIX
+START_B, START_A = L.START_TEXTS
+END = L.END_TEXT
+SUMMARY = SUMMARIZED
 
 
 @pytest.fixture(scope="session")
@@ -119,7 +118,7 @@ def as_lines(spark, logs, block=None):
     rows = []
     for source, lines in logs.items():
         for n, line in enumerate(lines):
-            rows.append((source, (n // block) * block if block else 0, n, line))
+            rows.append((source, (0, "", (n // block) * block if block else 0), n, line))
     from pyspark.sql import functions as F
 
     return spark.createDataFrame(rows, schemas.LINES).withColumn("line", L.strip(F.col("line")))
