@@ -11,6 +11,11 @@ def expand(counts: Column) -> Column:
     return F.flatten(F.transform(counts, lambda c: F.array_repeat(c["cardId"], c["quantity"])))
 
 
+def readable(counts: Column) -> Column:
+    """Whether every entry has a card and a number; one that lacks either makes the whole deck unknown."""
+    return F.forall(counts, lambda c: c["cardId"].isNotNull() & c["quantity"].isNotNull())
+
+
 def flat_deck(counts: Column) -> Column:
     """Main deck as a sorted flat list; NULL counts give an empty list."""
     return F.coalesce(F.array_sort(expand(counts)), F.expr("cast(array() as array<bigint>)"))

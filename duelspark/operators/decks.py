@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from duelspark.schemas import GAME
 
 CONTENT = ["deck_hash", "side_hash"]
+#: What tells stored decks apart if they also differ by name.
+NAMED = ["deck_name", "deck_commander", *CONTENT]
 FACTS = ["player_id", "match_key", "deck_name", "deck_list", "deck_sideboard", "deck_commander"]
 
 
-def by_content(games: DataFrame) -> DataFrame:
-    """Decks with equal cards are one deck; the first game keeps name and owner."""
+def by_content(games: DataFrame, keys: list[str] = CONTENT) -> DataFrame:
+    """Decks with equal ``keys`` (equal cards) are one deck; the first game keeps name and owner."""
+    facts = [c for c in [*CONTENT, *FACTS] if c not in keys]
     return (
-        games.groupBy(*CONTENT)
-        .agg(F.min_by(F.struct(*FACTS), F.struct(*GAME)).alias("d"))
-        .select(*CONTENT, F.lit("").alias("set_code"), "d.*")
+        games.groupBy(*keys)
+        .agg(F.min_by(F.struct(*facts), F.struct(*GAME)).alias("d"))
+        .select(*keys, F.lit("").alias("set_code"), "d.*")
     )
 
 

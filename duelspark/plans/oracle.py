@@ -252,6 +252,7 @@ MATCH_COLUMNS = {
 ORACLE = {
     "log_scan": LOG + FACTS,
     "bronze_roundtrip": LOG + FACTS,
+    "landing_csv": LOG + FACTS,
     "stream_ingest": LOG + FACTS,
     "new_files": """
         SELECT DISTINCT user_id FROM events
@@ -260,6 +261,12 @@ ORACLE = {
         SELECT user_id, games, coalesce(n, 0) AS "rows", CASE WHEN n > 0 THEN 'parsed' ELSE 'no_games' END AS status
         FROM (SELECT user_id, count(*) FILTER (WHERE what = 'start') AS games FROM cl GROUP BY user_id)
         LEFT JOIN (SELECT user_id, count(*) AS n FROM br WHERE sub = 1 GROUP BY user_id) USING (user_id)""",
+    "incremental_batch": LOG + """
+        SELECT user_id, games, coalesce(n, 0) AS "rows", CASE WHEN n > 0 THEN 'parsed' ELSE 'no_games' END AS status,
+          coalesce(stored, 0) AS stored
+        FROM (SELECT user_id, count(*) FILTER (WHERE what = 'start') AS games FROM cl GROUP BY user_id)
+        LEFT JOIN (SELECT user_id, count(*) FILTER (WHERE sub = 1) AS n, count(*) AS stored FROM br GROUP BY user_id)
+        USING (user_id)""",
     "silver_append": CARDS + ENDS.removeprefix(MESSAGES) + GAMES.removeprefix(ENDS) + """
         SELECT 'players' AS table_name, count(DISTINCT player_id) AS "rows" FROM ga WHERE complete
         UNION ALL SELECT 'matches', count(*) FROM ga WHERE complete

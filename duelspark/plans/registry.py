@@ -23,6 +23,7 @@ from duelspark.operators import hands as H
 from duelspark.operators import messages as M
 from duelspark.operators import quality as Q
 from duelspark.operators.keys import assign_ids
+from duelspark.plans import bronze as batch
 from duelspark.plans import silver
 from duelspark.plans import standins as S
 from duelspark.session import stage, work_path
@@ -112,6 +113,36 @@ def bronze_roundtrip(spark, folder):
     return bronze_facts(bronze_files.read_bronze(spark, path, "csv"))
 
 
+@query
+def landing_csv(spark, folder):
+    """Events landed as five-column CSV and read back; rows whose payload text came back otherwise would stand here twice."""
+    path = work_path(spark, "landing")
+    bronze = stage(_bronze(spark, folder), "bronze")
+    bronze_files.write_landing(bronze, path)
+    back = stage(bronze_files.read_landing(spark, path, rolled=True), "landed")
+    rows = lambda df: df.select(_user(), *bronze_files.LANDING)
+    lost = rows(bronze).exceptAll(rows(back)).withColumn("source_file", F.format_string("user-%d", "user_id"))
+    return bronze_facts(back).unionByName(bronze_facts(lost))
+
+
+@query
+def incremental_batch(spark, folder):
+    """Logs of every second user parsed first, then the others as new files, then a run without new files."""
+    path = work_path(spark, "logs")
+    lines = _lines(spark, folder).withColumnRenamed("source_file", "log")
+    even = F.regexp_extract("log", r"(\d+)$", 1).cast("bigint") % 2 == 0
+    target = batch.store(spark, "db_" + work_path(spark, "x")[-12:])
+    target.create(work_path(spark, "bronze"))
+    for half, some in (("first", lines.filter(even)), ("second", lines.filter(~even))):
+        logs.write_logs(some, f"{path}/{half}")
+        batch.run(target, path, "*.txt", rolled=True)
+    batch.run(target, path, "*.txt", rolled=True)
+    stored = target.read("bronze").groupBy("source_file").agg(F.count("*").alias("stored"))
+    return target.read("manifest").join(stored, "source_file", "left").select(
+        _user(), "games", "rows", "status", F.coalesce("stored", F.lit(0)).cast("bigint").alias("stored")
+    )
+
+
 @query
 def new_files(spark, folder):
     """Logs of users who came later, as those of the first six hours are in the manifest already."""

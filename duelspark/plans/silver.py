@@ -28,11 +28,20 @@ class Silver:
     matches: DataFrame
     decks: DataFrame
     hands: DataFrame
+    deck_keys: list[str]
 
 
-def shape(bronze: DataFrame, zone: str | None = T.LOG_ZONE, collapse: bool = False) -> Silver:
+#: What makes two decks one.
+DECK_KEYS = {"content": D.CONTENT, "content_and_name": D.NAMED}
+
+
+def shape(
+    bronze: DataFrame, zone: str | None = T.LOG_ZONE, collapse: bool = False, dedup_by: str = "content"
+) -> Silver:
     """All silver relations. Game facts and opening hands are written once each,
-    since several tables read them and both are small next to the events."""
+    since several tables read them and both are small next to the events.
+    ``bronze`` is read twice and should be stored. ``dedup_by``: see DECK_KEYS."""
+    keys = DECK_KEYS[dedup_by]
     games = stage(G.describe(M.first_last(bronze), zone), "games")
     candidates = stage(H.candidates(M.explode_messages(bronze)), "hand-candidates")
     opening = stage(H.opening(candidates), "opening")
@@ -40,30 +49,41 @@ def shape(bronze: DataFrame, zone: str | None = T.LOG_ZONE, collapse: bool = Fal
         games=games,
         players=G.players(games),
         matches=G.matches(games),
-        decks=D.by_content(G.complete(games)),
+        decks=D.by_content(G.complete(games), keys),
         hands=H.turn1_hands(opening, collapse),
+        deck_keys=keys,
     )
 
 
 def load(store: Store, silver: Silver) -> None:
-    """Appends what is not stored yet; loading the same logs again adds nothing."""
+    """Appends what is not stored yet; loading the same logs again adds nothing.
+
+    A run may stop between any two appends. Decks then point at a match id that
+    no match has: no other match is given that id, and the next match with such a
+    deck takes it, be it of the same logs or of others. Hands are added for stored
+    matches that have none.
+    """
+    keys = silver.deck_keys
     store.append("players", G.absent(silver.players, store.read("players"), ["player_id"]))
 
     fresh = stage(G.absent(silver.matches, store.read("matches"), ["match_key"]), "new-matches")
-    numbered = stage(
-        assign_ids(fresh, GAME, "match_id", highest(store.read("matches"), "match_id")), "numbered-matches"
-    )
     # Decks of the new matches only, so that each one has its first match at hand.
-    used = D.by_content(silver.games.join(fresh.select(*GAME), GAME, "left_semi"))
-    unseen = G.absent(used, store.read("decks"), D.CONTENT)
-    decks = assign_ids(unseen, D.CONTENT, "deck_id", highest(store.read("decks"), "deck_id")).join(
+    used = stage(D.by_content(silver.games.join(fresh.select(*GAME), GAME, "left_semi"), keys), "used-decks")
+    known = store.read("decks")
+    waiting = known.join(store.read("matches").select("match_id"), "match_id", "left_anti").select("match_id", *keys)
+    taken = used.join(waiting, keys).groupBy("match_key").agg(F.min("match_id").alias("match_id"))
+    last = max(highest(store.read("matches"), "match_id"), highest(known, "match_id"))
+    numbered = assign_ids(fresh.join(taken, "match_key", "left_anti"), GAME, "match_id", last)
+    numbered = stage(numbered.unionByName(fresh.join(taken, "match_key")), "numbered-matches")
+    unseen = G.absent(used, known, keys)
+    decks = assign_ids(unseen, keys, "deck_id", highest(known, "deck_id")).join(
         numbered.select("match_key", "match_id"), "match_key"
     )
     store.append("decks", decks)
 
-    # Content hashes are unique in ``decks``, so the lookup keeps the row count.
-    ids = store.read("decks").select("deck_id", *D.CONTENT)
-    store.append("matches", numbered.join(ids, D.CONTENT))
+    # The keys are unique in ``decks``, so the lookup keeps the row count.
+    ids = store.read("decks").select("deck_id", *keys)
+    store.append("matches", numbered.join(ids, keys))
 
     # Hands go by the stored matches that have none yet, so a run that stopped
     # between the two appends is completed by the next one.
