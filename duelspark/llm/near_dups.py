@@ -17,7 +17,7 @@ import hashlib
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelspark.llm.arrow import map_batches, utf8
@@ -25,6 +25,9 @@ from duelspark.session import stage
 
 HALF, ROWS = 10, 2
 
+#: Up to so many ids in a key, or documents with a shingle, all pairs of them are looked at.
+FEW = 32
+
 #: Distinct words whose hashes a task keeps.
 KEPT_WORDS = 500_000
 
@@ -129,22 +132,11 @@ def table_keys(left: Column, right: Column) -> Column:
     )
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    like = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y)
-    a, b = (sizes.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
-    # Sets that differ too much in size can't be linked.
-    pairs = stage(pairs.join(a, "a").join(b, "b").filter(like(F.col("n_a"), F.col("n_b"))), "near-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    # Rows that repeat a doc_id with another text are not told apart here: a doc_id names one text.
-    sets = stage(_sets(docs.join(ids, "doc_id", "left_semi"), words).dropDuplicates(["id"]), "near-sets")
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets (id, set) have 100 * intersection >= percent * union."""
     of = lambda c: sets.select(F.col("id").alias(c), F.col("set").alias(f"set_{c}"))
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    return (
-        pairs.join(of("a"), "a").join(of("b"), "b")
-        .filter(100 * both >= percent * (F.col("n_a") + F.col("n_b") - both))
-        .select("a", "b")
-    )
+    both, all_ = F.size(F.array_intersect("set_a", "set_b")), F.size("set_a") + F.size("set_b")
+    return pairs.join(of("a"), "a").join(of("b"), "b").filter(100 * both >= percent * (all_ - both)).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -174,13 +166,73 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _open(placed: DataFrame) -> DataFrame:
+    """Rows of the keys that still hold more than one component, with the number of ids and the smallest set in the key."""
+    of = Window.partitionBy("key")
+    return (
+        placed.withColumns({
+            "_low": F.min("component").over(of), "_high": F.max("component").over(of),
+            "in_key": F.count("id").over(of), "least": F.min("n").over(of),
+        })
+        .filter("_low < _high")
+        .drop("_low", "_high")
+    )
+
+
+def _pairs(rows: DataFrame, on: str, condition: Column) -> DataFrame:
+    """Distinct pairs a < b of different components that share ``on`` and meet ``condition`` on their columns, with a_ and b_ before."""
+    a, b = (rows.select(*[F.col(c).alias(c if c == on else f"{side}_{c}") for c in rows.columns]) for side in "ab")
+    met = (F.col("a_id") < F.col("b_id")) & (F.col("a_component") != F.col("b_component")) & condition
+    return a.join(b, on).filter(met).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+
+
+def across(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs of different components in a key that can be linked; ``placed``: key, id, n, component.
+
+    In a key of few ids these are all pairs of like sizes. In a larger one most
+    pairs are ruled out unseen, without losing a link. A shingle is rare if few of
+    all candidates have it. A pair with a rare shingle in common is found by that
+    shingle. Without one, the two can have no more in common than the smaller
+    number of shingles that are not rare, and few pairs reach the percentage so.
+    """
+    like = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y)
+    sized = like(F.col("a_n"), F.col("b_n"))
+    still = stage(_open(placed), "near-open")
+    small = _pairs(still.filter(F.col("in_key") <= FEW).select("key", "id", "n", "component"), "key", sized)
+    large = still.filter(F.col("in_key") > FEW).select("id", "n", "component").distinct()
+
+    # One shuffle by shingle serves both the count and the join.
+    has = sets.select("id", F.explode("set").alias("shingle")).repartition("shingle")
+    rare = has.groupBy("shingle").agg(F.count("id").alias("_ids")).filter(F.col("_ids") <= FEW)
+    rare = stage(has.join(rare, "shingle"), "near-rare")
+    by_shingle = _pairs(rare.filter("_ids > 1").select("shingle", "id").join(large, "id"), "shingle", sized)
+
+    lone = rare.groupBy("id").agg(F.count("shingle").alias("_rare"))
+    counted = placed.join(lone, "id", "left").select(
+        "key", "id", "n", "component", (F.col("n") - F.coalesce("_rare", F.lit(0))).alias("often")
+    )
+    enough = lambda common, x, y: 100 * common >= percent * (x + y - common)
+    # The best that an id can reach in its key is with an id of the smallest size there.
+    hopeful = _open(counted).filter(
+        (F.col("in_key") > FEW) & enough(F.col("often"), F.col("n"), F.greatest("least", "often"))
+    )
+    hopeful = stage(_open(hopeful.drop("in_key", "least")), "near-hopeful")
+    # Ids meet in many keys; joined by the keys that hang together, a pair is made once.
+    first = F.min("id").over(Window.partitionBy("key"))
+    chained = stage(hopeful.select(first.alias("a"), F.col("id").alias("b")).filter("a < b").distinct(), "near-chained")
+    groups = components(chained).withColumnRenamed("component", "group")
+    rows = hopeful.select("id", "n", "component", "often").distinct().join(groups, "id")
+    by_key = _pairs(rows, "group", sized & enough(F.least("a_often", "b_often"), F.col("a_n"), F.col("b_n")))
+    return small.union(by_shingle).union(by_key).distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, half: int = HALF, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text, ...).
 
     Documents of equal sets are one class, so that copies are never paired. The
-    classes of a table key are compared with the smallest of them; where more
+    classes are compared with the smallest ones of their table keys; where more
     than one component is left in a key, all its classes of different components
-    are compared as well, so that no link between components is missed.
+    that can be alike are compared as well, so no link between components is missed.
 
     Null and empty texts have no set and are linked with nothing. Rows that
     repeat a doc_id are one document: they get the same component and are kept
@@ -200,22 +252,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, half: in
         .dropDuplicates(["doc_id"])
         .select(F.col("doc_id").alias("id"), F.explode(table_keys(F.col("left"), F.col("right"))).alias("key"))
     )
+    # One shuffle by key serves both the aggregate and the join.
+    members = members.repartition("key")
     shared = members.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
     shared = stage(members.join(shared.select("key", "first"), "key"), "near-shared")
-    stars = shared.filter("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    # Every id against two of the smallest ids in its keys: enough to make most groups one component.
+    ends = shared.filter("id != first").groupBy("id").agg(F.min("first").alias("_low"), F.max("first").alias("_high"))
+    stars = ends.select(F.explode(F.array_distinct(F.array("_low", "_high"))).alias("a"), F.col("id").alias("b"))
     stars = stage(stars, "near-stars")
-    links = stage(confirmed(stars, docs, sizes, words, percent), "near-links")
+    # The texts of candidates alone are shingled again. Rows of one doc_id are one text here.
+    ids = shared.select(F.col("id").alias("doc_id")).distinct()
+    sets = stage(_sets(docs.join(ids, "doc_id", "left_semi"), words).dropDuplicates(["id"]), "near-sets")
+    links = stage(confirmed(stars, sets, percent), "near-links")
     labels = components(links)
 
-    placed = shared.select("key", "id").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    placed = stage(placed, "near-placed")
-    open_ = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    still = placed.join(open_, "key").select("key", "id", "component")
-    one, two = (still.select("key", F.col("id").alias(c), F.col("component").alias(f"c_{c}")) for c in "ab")
-    rest = (
-        one.join(two, "key").filter("a < b AND c_a != c_b").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    )
-    more = stage(confirmed(rest, docs, sizes, words, percent), "near-links")
+    placed = shared.select("key", "id").join(labels, "id", "left").join(sizes, "id")
+    placed = stage(placed.select("key", "id", "n", F.coalesce("component", "id").alias("component")), "near-placed")
+    rest = across(placed, sets, percent).join(stars, ["a", "b"], "left_anti")
+    more = stage(confirmed(rest, sets, percent), "near-links")
     if not more.isEmpty():
         labels = components(links.union(more))
 
