@@ -13,6 +13,21 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 SLICE_BYTES = 4 << 20
 
 
+_STATE: dict = {}
+
+
+def kept_in_worker(key, make: Callable):
+    """What ``make`` gives, kept by this Python worker for later tasks.
+
+    A worker serves many tasks and operators; only the last state asked for stays,
+    so that memos of several operators never add up.
+    """
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
 def slices(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes, one row at least."""
     for batch in batches:

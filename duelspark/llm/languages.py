@@ -9,6 +9,7 @@ don't break a span. The language of a text is the one with most letters.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 
@@ -16,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duelspark.llm.arrow import arrow_schema, map_batches, rows_of, slices, utf8
+from duelspark.llm.arrow import arrow_schema, kept_in_worker, map_batches, rows_of, slices, utf8
 
 #: First and last code points of scripts; all other letters are one more.
 SCRIPTS = [
@@ -47,7 +48,21 @@ _SPACED = bytes(
 )
 
 
-def script(letter: str) -> int:
+class _Memo(dict):
+    """A function of few different short strings, computed once for each."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        if len(self) > KEPT_WORDS:
+            self.clear()
+        made = self[key] = self.make(key)
+        return made
+
+
+def _script(letter: str) -> int:
     point = ord(letter)
     for name, first, last in SCRIPTS:
         if first <= point <= last:
@@ -55,6 +70,11 @@ def script(letter: str) -> int:
     return NAMES.index("other")
 
 
+#: The script of a letter, and the bucket of a trigram.
+script = _Memo(_script)
+bucket = _Memo(lambda gram: zlib.crc32(gram.encode()) % BUCKETS)
+
+
 def rough_words(text: bytes) -> list[bytes]:
     """Lower-cased stretches of letters; beyond ASCII, signs stay in them until ``letters``."""
     return text.translate(_SPACED).split()
@@ -64,23 +84,28 @@ def letters(word: bytes) -> str:
     """The letters of a rough word, signs as blanks."""
     if word.isascii():
         return word.decode()
-    return "".join(c if c.isalpha() else " " for c in word.decode("utf-8", "replace").lower()).strip()
-
-
-def written_in(word: bytes) -> Counter:
-    """Letters of a rough word per script."""
-    if word.isascii():
-        return Counter({_LATIN: len(word)})
-    return Counter(script(c) for c in letters(word) if c != " ")
+    text = word.decode("utf-8", "replace").lower()
+    return text if text.isalpha() else "".join([c if c.isalpha() else " " for c in text]).strip()
+
+
+def scripts_of(plain: str) -> dict[int, int]:
+    """Letters per script of the letters of a word."""
+    if plain.isascii():
+        return {_LATIN: len(plain)} if plain else {}
+    out: dict[int, int] = {}
+    for c in plain:
+        if c != " ":
+            out[script[c]] = out.get(script[c], 0) + 1
+    return out
 
 
-def features(word: str) -> list[int]:
+def features(plain: str) -> list[int]:
     """Buckets of the trigrams of a word and its edges, and of the word itself."""
     out = []
-    for part in word.split():
+    for part in plain.split():
         coded = f"^{part}$"
-        grams = [coded[i : i + 3] for i in range(len(coded) - 2)] + [coded]
-        out += [zlib.crc32(g.encode()) % BUCKETS for g in grams]
+        out += [bucket[coded[i : i + 3]] for i in range(len(coded) - 2)]
+        out.append(zlib.crc32(coded.encode()) % BUCKETS)
     return out
 
 
@@ -106,10 +131,11 @@ def learn(docs: DataFrame) -> dict:
         for lang, seen in words.items():
             grams, lengths, scripts = [], [], np.zeros(len(NAMES), np.int64)
             for word, n in seen.items():
-                found = features(letters(word))
+                plain = letters(word)
+                found = features(plain)
                 grams += found
                 lengths.append(len(found))
-                for kind, size in written_in(word).items():
+                for kind, size in scripts_of(plain).items():
                     scripts[kind] += n * size
             times = np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), lengths)
             grams = np.bincount(np.array(grams, np.int64), weights=times, minlength=BUCKETS).astype(np.int64)
@@ -138,31 +164,42 @@ def learn(docs: DataFrame) -> dict:
 class Labeller:
     """Scores words by a model and labels the words of a batch of texts."""
 
+    @classmethod
+    def of(cls, model: dict, penalty: float) -> Labeller:
+        """The worker process's labeller of this model, which Spark uses for many tasks; another model replaces it."""
+        name = hashlib.blake2b(repr((model["names"], penalty)).encode() + model["logs"].tobytes()).digest()
+        return kept_in_worker((cls.__name__, name), lambda: cls(model, penalty))
+
     #: What a word of a script that a language isn't written in costs it.
     FOREIGN = -30.0
 
     def __init__(self, model: dict, penalty: float):
-        self.names, self.logs, self.written, self.penalty = model["names"], model["logs"], model["written"], penalty
+        self.names, self.logs, self.penalty = model["names"], model["logs"], penalty
+        # A script that no language is written in narrows nothing.
+        self.candidates = model["written"] | ~model["written"].any(axis=1, keepdims=True)
         self.clear()
 
     def clear(self) -> None:
         self.rows: dict[bytes, int] = {}
         self.scores: list[np.ndarray] = [np.zeros((0, len(self.names)), np.float32)]
-        self.sizes: list[int] = []
+        self.sizes: list[np.ndarray] = [np.zeros(0, np.int64)]
 
     def add(self, words: list[bytes]) -> None:
         """Scores words that are new; letters count as far as they are letters."""
-        grams, lengths, allowed = [], [], np.ones((len(words), len(self.names)), bool)
+        grams, lengths, sizes, allowed = [], [], [], np.tile(self.candidates[_LATIN], (len(words), 1))
         for n, word in enumerate(words):
-            found = features(letters(word))
-            scripts = written_in(word)
+            plain = letters(word)
+            found = features(plain)
             grams += found
             lengths.append(len(found))
-            for kind in scripts:
-                if self.written[kind].any():
-                    allowed[n] &= self.written[kind]
-            self.rows[word] = len(self.sizes)
-            self.sizes.append(sum(scripts.values()))
+            scripts = scripts_of(plain)
+            sizes.append(sum(scripts.values()))
+            if not plain.isascii() or not plain:
+                allowed[n] = True
+                for kind in scripts:
+                    allowed[n] &= self.candidates[kind]
+        self.rows.update(zip(words, range(len(self.rows), len(self.rows) + len(words))))
+        self.sizes.append(np.array(sizes, np.int64))
         lengths = np.array(lengths)
         got = np.zeros((len(words), len(self.names)), np.float32)
         full = np.flatnonzero(lengths)
@@ -179,8 +216,8 @@ class Labeller:
             self.clear()
         split = [rough_words(text) for text in texts]
         self.add(list(set().union(*split).difference(self.rows)))
-        scores, sizes = np.concatenate(self.scores), np.array(self.sizes, np.int64)
-        self.scores = [scores]
+        scores, sizes = np.concatenate(self.scores), np.concatenate(self.sizes)
+        self.scores, self.sizes = [scores], [sizes]
         ids = [np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words)) for words in split]
         paths = viterbi([scores[i] for i in ids], self.penalty) if self.names else [np.zeros(len(i), np.int64) for i in ids]
         return [(w, path, sizes[i] if len(i) else i) for w, path, i in zip(split, paths, ids)]
@@ -270,7 +307,7 @@ def identify(docs: DataFrame, model: dict, penalty: float = PENALTY) -> DataFram
 
     def each(batch):
         if not ready:
-            ready.append(Labeller(model, penalty))
+            ready.append(Labeller.of(model, penalty))
         return {"doc_id": batch.column("doc_id")} | _verdicts(ready[0], utf8(batch.column("text")))
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -286,7 +323,7 @@ def identified(docs: DataFrame, model: dict, penalty: float = PENALTY) -> DataFr
     def run(batches):
         for batch in slices(batches):
             if not ready:
-                ready.append(Labeller(model, penalty))
+                ready.append(Labeller.of(model, penalty))
             found = _verdicts(ready[0], utf8(batch.column("text")))["lang_pred"]
             yield batch.filter(pa.array([lang != UNKNOWN for lang in found]))
 

@@ -18,11 +18,13 @@ condition, and scores alone decide.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelspark.llm.arrow import map_batches, utf8
+from duelspark.llm.arrow import kept_in_worker, map_batches, utf8
 
 #: Fixed values of the model format: the blank sign, piece types and model types.
 BLANK = "▁"
@@ -30,12 +32,23 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
 #: Words, word parts and piece pairs whose result a worker keeps.
-KEPT = 500_000
+KEPT = 400_000
 
 #: The weight of a spelled byte; larger than any piece's in a model file.
 BYTE_WEIGHT = 1e10
 
 
+def trie(pieces: Iterable[str]) -> list:
+    """Nodes of (next nodes by character, piece that ends here)."""
+    root = [{}, None]
+    for piece in pieces:
+        node = root
+        for c in piece:
+            node = node[0].setdefault(c, [{}, None])
+        node[1] = piece
+    return root
+
+
 class Transducer:
     """A compiled model.
 
@@ -43,8 +56,6 @@ class Transducer:
     without byte pieces are refused.
     """
 
-    _ready: dict[str, Transducer] = {}
-
     def __init__(self, path: str):
         from sentencepiece import sentencepiece_model_pb2
 
@@ -65,12 +76,7 @@ class Transducer:
         self.bytes = {int(p.piece[3:-1], 16): n for n, p in enumerate(model.pieces) if p.type == BYTE}
         #: Characters side by side in some piece; no merge or piece crosses another border.
         self.inside = {piece[i : i + 2] for piece in self.ids for i in range(len(piece) - 1)}
-        self.trie: dict = {}
-        for piece in self.ids:
-            node = self.trie
-            for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = piece
+        self.trie = trie(self.ids)
         self.text = [
             bytes([int(p.piece[3:-1], 16)]) if p.type == BYTE
             else b"" if p.type == CONTROL
@@ -86,9 +92,7 @@ class Transducer:
     @classmethod
     def of(cls, path: str) -> Transducer:
         """One per worker process, which Spark uses for many tasks."""
-        if path not in cls._ready:
-            cls._ready[path] = cls(path)
-        return cls._ready[path]
+        return kept_in_worker((cls.__name__, path), lambda: cls(path))
 
     def merged(self, text: str, done: list[tuple[float, int]] | None = None) -> list[str]:
         """What the merges make of ``text``: best score first, then from the left. ``done`` gets score and place of each."""
@@ -133,7 +137,7 @@ class Transducer:
         piece are there together and make a piece before a merge takes either up;
         of equal scores the place further left goes first.
         """
-        if not pair[0]:  # the start, which any piece may follow that merges can make
+        if pair[0] not in self.ids:  # the start or spelled bytes: any piece may follow that merges can make
             return self.merged(pair[1]) == [pair[1]]
         left, right = self.edges[pair[0]], self.edges[pair[1]]
         if left is None or right is None:
@@ -147,36 +151,38 @@ class Transducer:
         return True
 
     def path(self, text: str) -> list[str]:
-        """The pieces on the path of least weight through ``text``; a character without a piece stands for its bytes."""
-        # Per position: last piece to (weight, position before, piece before).
-        states: list[dict] = [{} for _ in range(len(text) + 1)]
-        states[0][""] = (0.0, 0, "")
-        trie, scores, pairs, merges = self.trie, self.scores, self.pairs, self.merges
-        for start, here in enumerate(states[:-1]):
-            if not here:
+        """The pieces on the path of least weight through ``text``; a character without a piece stands for its bytes.
+
+        A position needs one state: without merges the one of least weight, with
+        them the only last piece that all neighbours before allow.
+        """
+        size, trie, scores, pairs, merges = len(text), self.trie, self.scores, self.pairs, self.merges
+        weights, lasts = [0.0] * (size + 1), [None] * (size + 1)
+        lasts[0] = ""
+        for start in range(size):
+            last = lasts[start]
+            if last is None:
                 continue
-            if not merges and len(here) > 1:  # what follows does not depend on the last piece
-                best = min(here, key=lambda p: here[p][0])
-                here = {best: here[best]}
-            arcs, node, end = [], trie, start
-            while end < len(text) and (node := node.get(text[end])) is not None:
-                end += 1
-                if "" in node:
-                    arcs.append((end, node[""], -scores[node[""]]))
-            if text[start] not in scores:
-                arcs.append((start + 1, text[start], BYTE_WEIGHT * len(text[start].encode("utf-8", "replace"))))
-            for end, piece, weight in arcs:
-                there = states[end]
-                for last, (sum_, _, _) in here.items():
-                    if merges and not pairs[last, piece]:
-                        continue
-                    if piece not in there or sum_ + weight < there[piece][0]:
-                        there[piece] = (sum_ + weight, start, last)
-        at, piece = len(text), min(states[-1], key=lambda p: states[-1][p][0])
-        out = []
+            weight, node = weights[start], trie
+            for end in range(start, size):
+                node = node[0].get(text[end])
+                if node is None:
+                    break
+                piece = node[1]
+                if piece is None or merges and not pairs[last, piece]:
+                    continue
+                total = weight - scores[piece]
+                if lasts[end + 1] is None or total < weights[end + 1]:
+                    weights[end + 1], lasts[end + 1] = total, piece
+            char = text[start]
+            if char not in scores:
+                total = weight + BYTE_WEIGHT * len(char.encode("utf-8", "replace"))
+                if lasts[start + 1] is None or total < weights[start + 1]:
+                    weights[start + 1], lasts[start + 1] = total, char
+        at, out = size, []
         while at > 0:
-            out.append(piece)
-            _, at, piece = states[at][piece]
+            out.append(lasts[at])
+            at -= len(lasts[at])
         return out[::-1]
 
     def _part(self, text: str) -> bytes:

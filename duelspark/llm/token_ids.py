@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duelspark.llm.arrow import arrow_schema, map_batches, rows_of, slices, utf8
+from duelspark.llm.arrow import arrow_schema, kept_in_worker, map_batches, rows_of, slices, utf8
 
 BLOCKS = (
     "part int, block int, first_doc bigint, last_doc bigint, docs array<bigint>, n_tokens array<bigint>, "
@@ -53,8 +53,6 @@ class Encoder:
     PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\x80-\xff]+|[0-9]|[^\x09-\x0d\x20a-z0-9\x80-\xff]+")
     PLAIN = bytes(range(0xC0)) + b"\xc3"
 
-    _ready: dict[str, Encoder] = {}
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -66,9 +64,7 @@ class Encoder:
     @classmethod
     def of(cls, path: str) -> Encoder:
         """One per worker process, which Spark uses for many tasks."""
-        if path not in cls._ready:
-            cls._ready[path] = cls(path)
-        return cls._ready[path]
+        return kept_in_worker((cls.__name__, path), lambda: cls(path))
 
     def plain(self, text: bytes) -> bool:
         if any(token in text for token in self.special):
