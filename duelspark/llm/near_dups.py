@@ -25,9 +25,12 @@ from duelspark.session import stage
 
 HALF, ROWS = 10, 2
 
-#: Up to so many ids in a key, or documents with a shingle, all pairs of them are looked at.
+#: Up to so many ids in a key all pairs of them are looked at.
 FEW = 32
 
+#: A shingle of at most so many candidates is rare: all pairs that share it are looked at.
+RARE = 64
+
 #: Distinct words whose hashes a task keeps.
 KEPT_WORDS = 500_000
 
@@ -203,7 +206,7 @@ def across(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     # One shuffle by shingle serves both the count and the join.
     has = sets.select("id", F.explode("set").alias("shingle")).repartition("shingle")
-    rare = has.groupBy("shingle").agg(F.count("id").alias("_ids")).filter(F.col("_ids") <= FEW)
+    rare = has.groupBy("shingle").agg(F.count("id").alias("_ids")).filter(F.col("_ids") <= RARE)
     rare = stage(has.join(rare, "shingle"), "near-rare")
     by_shingle = _pairs(rare.filter("_ids > 1").select("shingle", "id").join(large, "id"), "shingle", sized)
 

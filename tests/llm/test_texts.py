@@ -111,12 +111,7 @@ def test_unigram_path_has_the_least_weight():
     coder.merges = False
     coder.scores = {"a": -1.0, "b": -1.0, "ab": -1.5, "ba": -1.2, "aba": -4.0}
     coder.ids = {p: n for n, p in enumerate(coder.scores)}
-    coder.trie = {}
-    for piece in coder.ids:
-        node = coder.trie
-        for c in piece:
-            node = node.setdefault(c, {})
-        node[""] = piece
+    coder.trie = pieces.trie(coder.ids)
     for text in map("".join, itertools.product("abx", repeat=5)):
         def best(rest):
             if not rest:
@@ -338,6 +333,7 @@ def plain_components(rows, words, percent):
 @pytest.mark.parametrize("few", [32, 3])
 def test_near_duplicates_against_all_pairs(spark, monkeypatch, few):
     monkeypatch.setattr(near_dups, "FEW", few)
+    monkeypatch.setattr(near_dups, "RARE", 2 * few)
     rng = random.Random(5)
     base = [[f"w{rng.randrange(300)}" for _ in range(60)] for _ in range(6)]
     rows = []
