@@ -78,11 +78,11 @@ class Shingler:
         return out
 
 
-SIGNED = "doc_id bigint, n_shingles bigint, set_1 bigint, set_2 bigint, left array<bigint>, right array<bigint>"
+SIGNED = "doc_id bigint, row binary, n_shingles bigint, set_1 bigint, set_2 bigint, left array<bigint>, right array<bigint>"
 
 
 def signatures(docs: DataFrame, words: int, half: int = HALF, rows: int = ROWS) -> DataFrame:
-    """doc_id, size and hash of the shingle set, and both collections of keys (null for an empty set)."""
+    """doc_id, row key, size and hash of the shingle set, and both collections of keys (null for an empty set)."""
     ready: list[Shingler] = []
 
     def each(batch):
@@ -104,28 +104,37 @@ def signatures(docs: DataFrame, words: int, half: int = HALF, rows: int = ROWS)
             left[i], right[i] = keys[:half, column].view(np.int64), keys[half:, column].view(np.int64)
         digests = [np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64) for s in sets]
         return {
-            "doc_id": batch.column("doc_id"), "n_shingles": sizes, "left": left, "right": right,
+            "doc_id": batch.column("doc_id"), "row": batch.column("row"), "n_shingles": sizes, "left": left, "right": right,
             "set_1": [int(d[0]) for d in digests], "set_2": [int(d[1]) for d in digests],
         }
 
     return map_batches(_narrow(docs), SIGNED, each)
 
 
+def row_key() -> Column:
+    """A hash of doc_id and text: the same for rows equal in both, where a null equals a null only."""
+    doc, text = F.col("doc_id").cast("long").cast("string"), F.col("text").cast("string")
+    mark = F.when(text.isNull(), F.lit(" ")).otherwise(F.lit(":"))
+    return F.unhex(F.md5(F.concat(F.coalesce(doc, F.lit("")), mark, F.coalesce(text, F.lit("")))))
+
+
 def _narrow(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("row")
+    )
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """id and the full shingle set of documents."""
+    """id and the full shingle set of texts (id, text)."""
     ready: list[Shingler] = []
 
     def each(batch):
         if not ready:
             ready.append(Shingler(words))
         sets = ready[0].sets(utf8(batch.column("text")))
-        return {"id": batch.column("doc_id"), "set": [s.view(np.int64) for s in sets]}
+        return {"id": batch.column("id"), "set": [s.view(np.int64) for s in sets]}
 
-    return map_batches(_narrow(docs), "id bigint, set array<bigint>", each)
+    return map_batches(docs, "id bigint, set array<bigint>", each)
 
 
 def table_keys(left: Column, right: Column) -> Column:
@@ -229,31 +238,18 @@ def across(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return small.union(by_shingle).union(by_key).distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, half: int = HALF, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text, ...).
-
-    Documents of equal sets are one class, so that copies are never paired. The
-    classes are compared with the smallest ones of their table keys; where more
-    than one component is left in a key, all its classes of different components
-    that can be alike are compared as well, so no link between components is missed.
-
-    Null and empty texts have no set and are linked with nothing. Rows that
-    repeat a doc_id are one document: they get the same component and are kept
-    or not together. A row without doc_id joins the component of a class of its
-    own set that has an id; else it has no component and is kept. Other columns
-    are ignored.
-    """
-    signed = stage(signatures(docs, words, half, rows), "near-signatures")
+def verdicts(docs: DataFrame, words: int = 5, percent: int = 80, half: int = HALF, rows: int = ROWS) -> DataFrame:
+    """As ``near_duplicates``, with the row key and the hash of the shingle set (set_1, set_2) of every row."""
+    # Stored with their places, so that each class is named by one of its rows, with or without doc_id.
+    signed = stage(signatures(docs, words, half, rows).withColumn("at", F.monotonically_increasing_id()), "near-signatures")
     named = signed.filter("n_shingles > 0")
     classes = stage(
-        named.groupBy("set_1", "set_2").agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n")), "near-classes"
+        named.groupBy("set_1", "set_2").agg(F.min("at").alias("id"), F.min("doc_id").alias("doc"), F.min("n_shingles").alias("n")),
+        "near-classes",
     )
-    sizes = classes.select("id", "n").filter("id IS NOT NULL")
-    known = classes.select("set_1", "set_2", F.col("id").alias("doc_id"))
-    members = (
-        named.join(known, ["set_1", "set_2", "doc_id"])
-        .dropDuplicates(["doc_id"])
-        .select(F.col("doc_id").alias("id"), F.explode(table_keys(F.col("left"), F.col("right"))).alias("key"))
+    sizes = classes.select("id", "n")
+    members = named.join(classes.select(F.col("id").alias("at")), "at").select(
+        F.col("at").alias("id"), F.explode(table_keys(F.col("left"), F.col("right"))).alias("key")
     )
     # One shuffle by key serves both the aggregate and the join.
     members = members.repartition("key")
@@ -263,9 +259,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, half: in
     ends = shared.filter("id != first").groupBy("id").agg(F.min("first").alias("_low"), F.max("first").alias("_high"))
     stars = ends.select(F.explode(F.array_distinct(F.array("_low", "_high"))).alias("a"), F.col("id").alias("b"))
     stars = stage(stars, "near-stars")
-    # The texts of candidates alone are shingled again. Rows of one doc_id are one text here.
-    ids = shared.select(F.col("id").alias("doc_id")).distinct()
-    sets = stage(_sets(docs.join(ids, "doc_id", "left_semi"), words).dropDuplicates(["id"]), "near-sets")
+    # The texts of candidates alone are shingled again, one row of each class.
+    ids = shared.select("id").distinct()
+    texts = _narrow(docs).join(signed.select(F.col("at").alias("id"), "row").join(ids, "id"), "row").select("id", "text")
+    sets = stage(_sets(texts, words).dropDuplicates(["id"]), "near-sets")
     links = stage(confirmed(stars, sets, percent), "near-links")
     labels = components(links)
 
@@ -276,10 +273,36 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, half: in
     if not more.isEmpty():
         labels = components(links.union(more))
 
-    all_ = classes.join(labels, "id", "left").select("set_1", "set_2", F.coalesce("component", "id").alias("component_id"))
+    # A component takes its smallest doc_id, and the class that has it is kept; classes without doc_id come last.
+    rank = F.struct(F.col("doc").isNull().alias("none"), "doc", "set_1", "set_2")
+    best = classes.join(labels, "id").groupBy("component").agg(F.min(rank).alias("best"))
+    all_ = classes.join(labels.join(best, "component").select("id", "best"), "id", "left").select(
+        "set_1", "set_2",
+        F.when(F.col("best").isNull(), F.col("doc")).otherwise(F.col("best.doc")).alias("component_id"),
+        (F.col("best").isNull() | ((F.col("best.set_1") == F.col("set_1")) & (F.col("best.set_2") == F.col("set_2")))).alias("_kept"),
+    )
     found = (
-        signed.select("doc_id", "n_shingles", "set_1", "set_2")
+        signed.select("doc_id", "n_shingles", "set_1", "set_2", "row")
         .join(all_, ["set_1", "set_2"], "left")
         .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     )
-    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")) & F.coalesce("_kept", F.lit(True))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "row", "set_1", "set_2")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, half: int = HALF, rows: int = ROWS) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text, ...).
+
+    Rows of equal sets are one class, so that copies are never paired. The
+    classes are compared with the smallest ones of their table keys; where more
+    than one component is left in a key, all its classes of different components
+    that can be alike are compared as well, so no link between components is missed.
+
+    Null and empty texts have no set and are linked with nothing; they are kept.
+    A component has the smallest doc_id of its rows, null if none has one. Kept
+    are the rows of one class of the component that have this doc_id: all of
+    them, if they repeat it. Texts of one doc_id that are not alike are told
+    apart. Other columns are ignored.
+    """
+    found = verdicts(docs, words, percent, half, rows)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")

@@ -358,6 +358,22 @@ def test_near_duplicates_of_odd_rows(spark):
     assert near_dups.near_duplicates(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_near_duplicates_through_rows_without_own_id(spark):
+    words = [f"w{n}" for n in range(40)]
+    text = lambda k: " ".join([f"x{n}" for n in range(k)] + words[k:])  # 0 and 3: 0.86, 3 and 6: 0.81, 0 and 6: 0.73
+    far = " ".join(f"y{n}" for n in range(40))
+    rows = [(1, text(0)), (None, text(3)), (9, text(6)), (None, "p q r s t u v a b c d"), (None, "p q r s t u v a b c e"),
+            (5, "one two three"), (5, far), (3, far.replace("y39", "z")), (7, far), (None, "")]
+    want = [
+        (None, 0, None, True), (None, 10, None, False), (None, 10, None, True), (None, 39, 1, False), (1, 39, 1, True),
+        (3, 39, 3, True), (5, 2, 5, True), (5, 39, 3, False), (7, 39, 3, False), (9, 39, 1, False),
+    ]
+    for order in range(3):
+        random.Random(order).shuffle(rows)
+        got = [tuple(r) for r in near_dups.near_duplicates(docs(spark, rows), words=2).collect()]
+        assert sorted(got, key=lambda r: (r[0] or 0, r[1], r[3])) == want
+
+
 def test_components_of_chains(spark):
     links = [(n, n + 1) for n in range(1, 40) if n % 13] + [(100, 7)]
     got = {r.id: r.component for r in near_dups.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
