@@ -26,14 +26,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of five-word near-duplicates of 0.8 or more goes on, the one of smallest doc_id.
+    """One row of each group of five-word near-duplicates of 0.8 or more goes on, one of smallest doc_id.
 
-    Rows equal in doc_id and text are one document. Rows without doc_id
-    all go on.
+    Rows without doc_id are grouped like others; one goes on if its group has no doc_id.
+    Texts of one doc_id that are not alike are in groups of their own.
     """
-    found = near_dups.near_duplicates(docs, words=5, percent=80)
-    gone = found.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    return near_dups.one_of_each(docs, words=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

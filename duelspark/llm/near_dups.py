@@ -306,3 +306,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, half: in
     """
     found = verdicts(docs, words, percent, half, rows)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component of ``docs`` with all its columns: of its kept rows the one whose row key is smallest.
+
+    Rows without a set all go on, but those equal in doc_id and text as one row.
+    """
+    kept = verdicts(docs, words, percent).filter("kept")
+    alone = kept.filter("n_shingles = 0").select(F.col("row").alias("_row"))
+    chosen = kept.filter("n_shingles > 0").groupBy("set_1", "set_2").agg(F.min("row").alias("_row")).select("_row")
+    return docs.withColumn("_row", row_key()).join(chosen.union(alone), "_row", "left_semi").dropDuplicates(["_row"]).select(docs.columns)

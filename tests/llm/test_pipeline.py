@@ -53,3 +53,14 @@ def test_stages_of_odd_rows(spark):
     assert set(corpus_pipeline.sentencepiece(spark, kept, FOLDER).columns) >= {"ids", "kept", "rate"}
     unlabelled = rows.withColumn("lang", F.lit(None).cast("string"))
     assert corpus_pipeline.language_id(spark, unlabelled, FOLDER).count() == 6
+
+
+def test_one_row_of_each_group(spark):
+    one, far = " ".join(f"w{n}" for n in range(40)), " ".join(f"y{n}" for n in range(40))
+    near = far.replace("y39", "z")
+    rows = [(1, one), (None, one), (1, one.upper()), (None, far), (None, near), (None, far), (5, "a unique text of some words"),
+            (5, one), (7, "p q r s t u"), (7, "P Q r s t u"), (None, "p q r s t u")]
+    kept = corpus_pipeline.near_dedup(spark, docs(spark, rows), FOLDER).select("doc_id", "text").collect()
+    assert sorted(r.doc_id or 0 for r in kept) == [0, 1, 5, 7]
+    assert {r.text for r in kept if r.doc_id == 5} == {"a unique text of some words"}
+    assert {r.text for r in kept if r.doc_id is None} <= {far, near}
