@@ -162,7 +162,9 @@ class Walk:
             if not len(good):
                 continue
             s, i = np.concatenate([self.best[n][0], row[good]]), np.concatenate([self.best[n][1], ids[good]])
-            top = np.lexsort((i, -s))[: self.k]
+            order = np.lexsort((i, -s))
+            # An id counts once, with its best score: the first in this order.
+            top = order[np.sort(np.unique(i[order], return_index=True)[1])[: self.k]]
             self.best[n] = s[top], i[top]
             if len(top) == self.k:
                 self.least[n] = max(self.least[n], float(s[top[-1]]))
@@ -247,8 +249,11 @@ def top_k(
     pairs = groups.select("group", F.pmod(F.col("group"), F.lit(count)).alias("start"), every.alias("block"))
     first = stage(_walked(pairs.filter("block = start").select("block", "group"), blocks, groups, None, k), "topk-first")
 
+    # Rows that repeat a query's or a candidate's id count once here too.
     kth = (
-        first.withColumn("_n", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+        first.groupBy("query_id", "vec_id")
+        .agg(F.max("score").alias("score"))
+        .withColumn("_n", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
         .filter(F.col("_n") == k)
         .select(F.col("query_id").alias("id"), F.col("score").alias("least"))
     )

@@ -55,6 +55,15 @@ def test_odd_rows(spark):
     assert search(spark, [(1, None)], 1, 3) == {}
 
 
+@pytest.mark.parametrize("values", [1 << 17, 64 * 2])
+def test_repeated_ids_take_one_place(spark, monkeypatch, values):
+    monkeypatch.setattr(topk, "BLOCK_VALUES", values)
+    rows = [(0, [1.0, 0.0])] + [(1, [100.0 + n, 1.0]) for n in range(90)] + [(n, [float(n), 0.0]) for n in range(2, 90)]
+    assert search(spark, rows, 1000, 4) == brute(rows, lambda i: i == 0, 4)
+    again = rows + [(0, [0.5, float(n)]) for n in range(90)]
+    assert search(spark, again, 1000, 4) == brute(again, lambda i: i == 0, 4)
+
+
 def test_large_numbers_stop_at_the_limit(spark):
     rows = [(0, [3e30, 1.0]), (1, [3e30, 1.0]), (2, [-3e30, 1.0]), (3, [1e9, 7.0]), (4, [123456.789, 1.0])]
     assert search(spark, rows, 1, 4) == brute(rows, lambda i: True, 4)
