@@ -61,6 +61,7 @@ def shard_table(docs: DataFrame, weights: list[float], grown: float = 1.0, rows_
     ``grown_shard`` is the shard after one more, of weight ``grown``, is added.
     A null text has size 8 and the checksum of no bytes; a null doc_id is a key
     like any other; repeated rows share a shard and have slots of their own.
+    Slots follow doc_id at every size, a null one first.
     Other columns are ignored. Only the narrow rows are shuffled, never texts.
     """
     key = F.col("doc_id").cast("long")
@@ -81,5 +82,7 @@ def shard_table(docs: DataFrame, weights: list[float], grown: float = 1.0, rows_
         narrow = narrow.withColumn("grown_shard", F.col("shard"))
     narrow = stage(narrow, f"shards-{len(more)}")
     blocks = narrow.count() // rows_per_block + 1
-    narrow = narrow.withColumn("_at", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(blocks)))
-    return number(narrow, "shard", ["doc_id", "text_crc32", "size"], "_at").drop("_at")
+    # Blocks are ranges of the order, stored as range bounds are sampled and must not be drawn twice.
+    order = ["doc_id", "text_crc32", "size"]
+    ranged = narrow.repartitionByRange(blocks, *order).withColumn("_at", F.spark_partition_id())
+    return number(stage(ranged, "shard-blocks"), "shard", order, "_at").drop("_at")
