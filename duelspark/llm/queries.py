@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelspark.llm import chat, languages, licenses, merkle, mixing, near_dups, pieces, sharding, token_ids, topk
+from duelspark.llm import (
+    chat, divergence, languages, licenses, merkle, mixing, near_dups, outliers, pieces, sharding, token_ids, topk, vector_codes,
+)
 from duelspark.llm.sql import ORACLE
 from duelspark.session import work_path
 
@@ -115,6 +117,23 @@ def op10_mix_sources(spark, folder):
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op11_quality_rules(spark, folder):
+    """Counts of all documents, the fixed limits and the outliers of each language and source."""
+    found = outliers.quality(table(spark, folder, "documents"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *base, "base_failed", "kept", "distance")
+
+
+def op12_source_divergence(spark, folder):
+    """Distances of all sources of a language, and the terms that set each apart."""
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op13_vector_codes(spark, folder):
+    """All vectors as four codes of 256 entries each, after four rounds."""
+    return vector_codes.compress(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     fn.__name__: fn
     for fn in (
@@ -128,5 +147,8 @@ QUERIES = {
         op8_merkle_fingerprints,
         op9_minhash_dedup,
         op10_mix_sources,
+        op11_quality_rules,
+        op12_source_divergence,
+        op13_vector_codes,
     )
 }

@@ -149,4 +149,81 @@ keyed AS ({hashes("copied", ["doc_id", "1::BIGINT", "0::BIGINT", "copy::BIGINT"]
 SELECT doc_id, text, lang, source, n_chars, rate, copies, copy, {_SIGNED} AS shuffle_key FROM keyed
 """
 
-ORACLE = {"op2_rendezvous_shards": OP2, "op3_cover_tree_topk": OP3, "op6_chat_format": OP6, "op9_minhash_dedup": OP9, "op10_mix_sources": OP10}
+OP12 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+words AS (
+    SELECT d, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT d) >= 30),
+langs AS (
+    SELECT lang, count(term) AS v, coalesce(sum(n), 0) AS n
+    FROM (SELECT DISTINCT lang FROM docs) LEFT JOIN kept USING (lang) GROUP BY lang),
+counts AS (
+    SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (
+    SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n
+    FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN counts c USING (lang, source) GROUP BY ALL),
+priced AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 5) // (g.n + 5 * l.v) AS p,
+        1 + 1000000000::HUGEINT * (k.n + 5) // (l.n + 5 * l.v) AS q
+    FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+apart AS (
+    SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+    FROM priced x JOIN priced y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+parts AS (
+    SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+        LEFT JOIN apart a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source
+    UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM priced WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
+def _op13(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """All distances from all parts to all entries, as inner products of whole numbers, in every round."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""
+near{n} AS MATERIALIZED (
+    SELECT p.row_no, p.part, arg_min(b.entry, (p.sq - 2 * list_dot_product(p.x, b.x) + b.sq, b.entry)) AS entry,
+        min(p.sq - 2 * list_dot_product(p.x, b.x) + b.sq)::BIGINT AS error
+    FROM parts p JOIN book{n} b USING (part) GROUP BY ALL)""")
+        if n < rounds:
+            steps.append(f"""
+means{n} AS (
+    SELECT part, entry, list((s - (((s % c) + c) % c)) // c ORDER BY i)::DOUBLE[] AS x FROM (
+        SELECT part, entry, i, sum(v)::BIGINT AS s, count(*) AS c
+        FROM (SELECT part, entry, unnest(p.x)::BIGINT AS v, unnest(range(len(p.x))) AS i FROM near{n} JOIN parts p USING (row_no, part))
+        GROUP BY ALL) GROUP BY ALL),
+book{n + 1} AS MATERIALIZED (
+    SELECT *, list_dot_product(x, x) AS sq FROM (
+        SELECT part, entry, coalesce(m.x, b.x) AS x FROM book{n} b LEFT JOIN means{n} m USING (part, entry)))""")
+    return f"""
+WITH vectors AS (
+    SELECT row_number() OVER () AS row_no, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+    SELECT *, list_dot_product(x, x) AS sq FROM (
+        SELECT row_no, vec_id, part, v[part * len(v) // {parts} + 1 : (part + 1) * len(v) // {parts}]::DOUBLE[] AS x
+        FROM vectors, range({parts}) r(part))),
+book0 AS MATERIALIZED (
+    SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x, sq FROM parts
+    QUALIFY entry < {entries}),{",".join(steps)},
+coded AS (
+    SELECT row_no, string_agg(lower(lpad(hex(entry), 2, '0')), '' ORDER BY part) AS code, sum(error)::BIGINT AS error
+    FROM near{rounds} GROUP BY row_no),
+book AS (SELECT sha256(string_agg(number::VARCHAR, ',' ORDER BY part, entry, i)) AS sha FROM (
+    SELECT part, entry, unnest(x)::BIGINT AS number, unnest(range(len(x))) AS i FROM book{rounds}))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, sha AS codebooks_sha256
+FROM vectors JOIN coded USING (row_no), book
+"""
+
+
+ORACLE = {
+    "op2_rendezvous_shards": OP2, "op3_cover_tree_topk": OP3, "op6_chat_format": OP6, "op9_minhash_dedup": OP9,
+    "op10_mix_sources": OP10, "op12_source_divergence": OP12, "op13_vector_codes": _op13(),
+}
