@@ -64,8 +64,8 @@ PART = 0.75
 #: Groups of fewer documents share their language's; a language's rest of fewer has no estimate.
 ENOUGH = 100
 
-#: Concentration steps at most; they end when no determinant falls by more than this part.
-STEPS, STILL = 12, 1e-6
+#: Concentration steps at most; they end when no determinant falls by more than about this part.
+STEPS, STILL = 12, 1e-3
 
 #: Distances that a normal distribution exceeds by this probability are outliers.
 BEYOND = 1e-6
@@ -183,6 +183,8 @@ def vectors(counts: DataFrame) -> DataFrame:
     sizes = sizes.filter(F.col("n") >= ENOUGH).select(
         F.col("of").alias("_of"), F.col("from").alias("_from"), F.when(F.col("own"), F.col("from")).otherwise(F.lit("*")).alias("to")
     )
+    # One row per group: once stored, Spark knows how small it is and the rows need no shuffle to meet it.
+    sizes = stage(sizes, "outliers-groups")
     grouped = rows.join(sizes, (F.col("of") == F.col("_of")) & (F.col("from") == F.col("_from"))).withColumn("from", F.col("to"))
 
     share = lambda count, of: F.when(F.col(of) > 0, F.floor(F.col(count) * MILLE / F.col(of))).otherwise(0).cast("long")
@@ -190,6 +192,7 @@ def vectors(counts: DataFrame) -> DataFrame:
     middle = _quartiles(shares, ["of", "from"], X).select(
         F.col("of").alias("_of"), F.col("from").alias("_from"), F.transform("q", lambda v: v["q2"] / MILLE).alias("middle")
     )
+    middle = stage(middle, "outliers-middles")
 
     def number(at, count, of, weight, transform, _):
         raised = (F.col(count) + weight * F.col("middle")[at]) / (F.col(of) + weight)
@@ -302,12 +305,13 @@ def estimates(rows: DataFrame, part: float = PART, steps: int = STEPS) -> DataFr
     before = None
     for _ in range(steps):
         limit = _first_bin(rows, fits, keys, part, "_limit")
-        near = rows.join(fits.join(limit, keys), ["of", "from"]).filter(binned(distance()) <= F.col("_limit"))
+        limited = stage(fits.join(limit, keys), "outliers-limits")
+        near = rows.join(limited, ["of", "from"]).filter(binned(distance()) <= F.col("_limit"))
         fits = stage(_fitted(near.groupBy(*keys).agg(*moments())), "outliers-fits")
         if before is not None:
             # A start whose determinant no longer falls stays as it is.
             now = fits.join(before, keys)
-            if now.filter(F.col("det") < F.col("_det") - STILL * F.abs("_det")).isEmpty():
+            if now.filter(F.col("det") < F.col("_det") - STILL).isEmpty():
                 break
         before = fits.select(*keys, F.col("det").alias("_det"))
     first = F.row_number().over(Window.partitionBy("of", "from").orderBy("det", "start"))

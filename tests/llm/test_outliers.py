@@ -36,6 +36,18 @@ def plain_quartiles(values):
     return [values[max(0, -(-k * len(values) // 4) - 1)] for k in (1, 2, 3)]
 
 
+def plain_steps(fits, step):
+    """Both starts of all groups go on until none of them falls."""
+    det = lambda f: np.linalg.slogdet(f[1])[1]
+    for n in range(outliers.STEPS):
+        after = [[step(x, f) for f in starts] for x, starts in fits]
+        still = n and all(det(a) >= det(b) - outliers.STILL for (_, was), now in zip(fits, after) for a, b in zip(now, was))
+        fits = [(x, now) for (x, _), now in zip(fits, after)]
+        if still:
+            break
+    return [min(starts, key=det) for _, starts in fits]
+
+
 def plain_distances(rows, part=outliers.PART):
     """rows (counts, lang, source) -> distance or None, by the rules of the docstrings."""
     ok = [n for n, (c, _, _) in enumerate(rows) if c["n_words"] >= 20 and 100 * c["n_repeat_words"] <= 30 * c["n_words"]]
@@ -46,7 +58,13 @@ def plain_distances(rows, part=outliers.PART):
     for key in [k for k, members in groups.items() if len(members) < outliers.ENOUGH]:
         pooled[key[0]] += groups.pop(key)
     groups |= {(lang, "*", 0): members for lang, members in pooled.items() if len(members) >= outliers.ENOUGH}
-    out = [None] * len(rows)
+    floor = np.diag([(256 * s[-1]) ** 2 for s in outliers.SHARES])
+    fit = lambda near: (near.mean(axis=0), np.cov(near.T, bias=True) + floor)
+    squared = lambda x, f: np.einsum("ij,jk,ik->i", x - f[0], np.linalg.inv(f[1]), x - f[0])
+    bins = lambda x, f: np.minimum(np.floor(np.log1p(squared(x, f)) * outliers.FINE), outliers.LAST)
+    nth = lambda b, share: np.sort(b)[math.ceil(len(b) * share) - 1]
+    wide = lambda x, f: max(1.0, math.expm1((nth(bins(x, f), 0.5) + 0.5) / outliers.FINE) / outliers.far(0.5))
+    out, fits = [None] * len(rows), []
     for members in groups.values():
         x = np.zeros((len(members), outliers.D))
         for i, (count, of, weight, _, _) in enumerate(outliers.SHARES):
@@ -55,19 +73,12 @@ def plain_distances(rows, part=outliers.PART):
             middle = plain_quartiles([math.floor(p * 1000 / q) if q else 0 for p, q in zip(c, b)])[1] / 1000
             transform = math.log if count == "word_chars" else math.sqrt
             x[:, i] = [math.floor(256 * transform((p + weight * middle) / (q + weight)) + 0.5) for p, q in zip(c, b)]
-        floor = np.diag([(256 * s[-1]) ** 2 for s in outliers.SHARES])
-        fit = lambda near: (near.mean(axis=0), np.cov(near.T, bias=True) + floor)
-        squared = lambda f: np.einsum("ij,jk,ik->i", x - f[0], np.linalg.inv(f[1]), x - f[0])
-        bins = lambda f: np.minimum(np.floor(np.log1p(squared(f)) * outliers.FINE), outliers.LAST)
-        nth = lambda b, share: np.sort(b)[math.ceil(len(b) * share) - 1]
         q = np.array([plain_quartiles(x[:, i]) for i in range(outliers.D)])
-        starts = [(q[:, 1], np.diag(((q[:, 2] - q[:, 0]) / 1.3489795003921634) ** 2) + floor), fit(x)]
-        for _ in range(outliers.STEPS):
-            starts = [fit(x[bins(f) <= nth(bins(f), part)]) for f in starts]
-        best = min(starts, key=lambda f: np.linalg.slogdet(f[1])[1])
-        wide = lambda f: max(1.0, math.expm1((nth(bins(f), 0.5) + 0.5) / outliers.FINE) / outliers.far(0.5))
-        last = fit(x[squared(best) <= wide(best) * outliers.far(0.025)])
-        for n, d in zip(members, np.sqrt(squared(last) / wide(last))):
+        fits.append((x, [(q[:, 1], np.diag(((q[:, 2] - q[:, 0]) / 1.3489795003921634) ** 2) + floor), fit(x)]))
+    best = plain_steps(fits, lambda x, f: fit(x[bins(x, f) <= nth(bins(x, f), part)]))
+    for members, (x, _), f in zip(groups.values(), fits, best):
+        last = fit(x[squared(x, f) <= wide(x, f) * outliers.far(0.025)])
+        for n, d in zip(members, np.sqrt(squared(x, last) / wide(x, last))):
             out[n] = d
     return out
 
