@@ -17,7 +17,7 @@ import hashlib
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duelspark.llm.arrow import map_batches, utf8
@@ -31,6 +31,9 @@ FEW = 32
 #: A shingle of at most so many candidates is rare: all pairs that share it are looked at.
 RARE = 64
 
+#: A reserved name beside the columns of a caller's table.
+_ROW = "__near_row"
+
 #: Distinct words whose hashes a task keeps.
 KEPT_WORDS = 500_000
 
@@ -178,64 +181,117 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _open(placed: DataFrame) -> DataFrame:
-    """Rows of the keys that still hold more than one component, with the number of ids and the smallest set in the key."""
-    of = Window.partitionBy("key")
-    return (
-        placed.withColumns({
-            "_low": F.min("component").over(of), "_high": F.max("component").over(of),
-            "in_key": F.count("id").over(of), "least": F.min("n").over(of),
-        })
-        .filter("_low < _high")
-        .drop("_low", "_high")
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (id, component) after ``links`` (a, b) between them, of which one per pair of components is followed."""
+    of = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}"))
+    ends = links.join(of("a"), "a").join(of("b"), "b").filter("of_a != of_b")
+    pairs = stage(ends.select(F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b")).distinct(), "near-pairs")
+    if pairs.isEmpty():
+        return labels
+    roots = components(pairs).select(F.col("id").alias("component"), F.col("component").alias("_root"))
+    after = labels.join(roots, "component", "left").select("id", F.coalesce("_root", "component").alias("component"))
+    return stage(after, "near-labels")
+
+
+def _open(placed: DataFrame, labels: DataFrame, on: str = "key") -> DataFrame:
+    """The rows of ``placed`` (key, id, ...) whose key still holds more than one component, with ``component``, stored.
+
+    ``in_key``: ids in the key; ``major``: the component that has most of them.
+    """
+    rows = placed.join(labels, "id")
+    counts = rows.groupBy(on, "component").agg(F.count("id").alias("_ids"))
+    ends = counts.groupBy(on).agg(
+        F.count("component").alias("_several"), F.sum("_ids").alias("in_key"), F.max(F.struct("_ids", "component")).alias("_most")
     )
+    ends = stage(ends.filter("_several > 1").select(on, "in_key", F.col("_most.component").alias("major")), "near-keys")
+    return stage(rows.join(ends, on), "near-open")
 
 
-def _pairs(rows: DataFrame, on: str, condition: Column) -> DataFrame:
-    """Distinct pairs a < b of different components that share ``on`` and meet ``condition`` on their columns, with a_ and b_ before."""
-    a, b = (rows.select(*[F.col(c).alias(c if c == on else f"{side}_{c}") for c in rows.columns]) for side in "ab")
-    met = (F.col("a_id") < F.col("b_id")) & (F.col("a_component") != F.col("b_component")) & condition
-    return a.join(b, on).filter(met).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+def _stars(rows: DataFrame, order: Column) -> DataFrame:
+    """Pairs (a, b) of every id in ``rows`` (key, id, ...) with the first and the last of its keys' smallest rows in ``order``, which ends in id."""
+    heads = stage(rows.groupBy("key").agg(F.min(order).alias("head")), "near-heads")
+    ends = rows.join(heads, "key").groupBy("id").agg(F.min("head").alias("_low"), F.max("head").alias("_high"))
+    both = ends.select(F.explode(F.array("_low", "_high")).alias("head"), F.col("id").alias("b"))
+    return both.select(F.col("head.id").alias("a"), "b").filter("a != b").distinct()
 
 
-def across(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs of different components in a key that can be linked; ``placed``: key, id, n, component.
+def _pairs(rows: DataFrame, condition: Column, on: str = "key") -> DataFrame:
+    """Distinct pairs of different components that share ``on`` and meet ``condition`` on their columns, with a_ and b_ before.
 
-    In a key of few ids these are all pairs of like sizes. In a larger one most
-    pairs are ruled out unseen, without losing a link. A shingle is rare if few of
-    all candidates have it. A pair with a rare shingle in common is found by that
-    shingle. Without one, the two can have no more in common than the smaller
-    number of shingles that are not rare, and few pairs reach the percentage so.
+    ``rows`` has id, component and major. Ids of a key's major component are met by
+    the others only, never by each other.
+    """
+    side = lambda mark: rows.select(*[F.col(c).alias(c if c == on else f"{mark}_{c}") for c in rows.columns])
+    once = (F.col("b_component") == F.col("b_major")) | (F.col("a_id") < F.col("b_id"))
+    met = side("a").filter("a_component != a_major").join(side("b"), on).filter((F.col("a_component") != F.col("b_component")) & once & condition)
+    return met.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
+
+
+def _rare(ids: DataFrame, sets: DataFrame) -> DataFrame:
+    """id, shingle of the rare shingles of ``ids``: those that at most RARE of them have."""
+    has = sets.join(ids, "id").select("id", F.explode("set").alias("shingle"))
+    often = stage(has.groupBy("shingle").agg(F.count("id").alias("_ids")).filter(F.col("_ids") > RARE), "near-often")
+    return stage(has.join(often, "shingle", "left_anti"), "near-rare")
+
+
+def across(placed: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``labels`` after all links between components of a key; ``placed``: key, id, n.
+
+    In a key of few ids all pairs of like sizes of different components are
+    compared. In larger ones a shingle is rare if few of their ids have it; what is
+    left of a set is its core. Most ids of a hot key are close to what its ids
+    share, so every id is first compared with those whose sets are nearest to their
+    cores. Then, for what is still apart:
+
+    A pair with a rare shingle in common is found by that shingle. Without one, a
+    pair can have no more in common than the cores, and few reach the percentage
+    so. Of all sets of one core the smallest is as near to any other core as
+    they get: what is linked to one of the others is linked to it. So those that
+    are linked to the smallest are left to it, and only the different cores of a
+    key are paired. No link between components is lost.
     """
     like = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y)
-    sized = like(F.col("a_n"), F.col("b_n"))
-    still = stage(_open(placed), "near-open")
-    small = _pairs(still.filter(F.col("in_key") <= FEW).select("key", "id", "n", "component"), "key", sized)
-    large = still.filter(F.col("in_key") > FEW).select("id", "n", "component").distinct()
-
-    # One shuffle by shingle serves both the count and the join.
-    has = sets.select("id", F.explode("set").alias("shingle")).repartition("shingle")
-    rare = has.groupBy("shingle").agg(F.count("id").alias("_ids")).filter(F.col("_ids") <= RARE)
-    rare = stage(has.join(rare, "shingle"), "near-rare")
-    by_shingle = _pairs(rare.filter("_ids > 1").select("shingle", "id").join(large, "id"), "shingle", sized)
-
-    lone = rare.groupBy("id").agg(F.count("shingle").alias("_rare"))
-    counted = placed.join(lone, "id", "left").select(
-        "key", "id", "n", "component", (F.col("n") - F.coalesce("_rare", F.lit(0))).alias("often")
-    )
     enough = lambda common, x, y: 100 * common >= percent * (x + y - common)
-    # The best that an id can reach in its key is with an id of the smallest size there.
-    hopeful = _open(counted).filter(
-        (F.col("in_key") > FEW) & enough(F.col("often"), F.col("n"), F.greatest("least", "often"))
+    sized = like(F.col("a_n"), F.col("b_n"))
+    follow = lambda pairs: merged(labels, stage(confirmed(pairs, sets, percent), "near-links"))
+
+    still = _open(placed, labels)
+    small = _pairs(still.filter(F.col("in_key") <= FEW), sized)
+    labels = follow(small)
+    large = still.filter(F.col("in_key") > FEW).select("key", "id", "n")
+    if large.isEmpty():
+        return labels
+
+    rare = _rare(large.select("id").distinct(), sets)
+    counts = rare.groupBy("id").agg(F.count("shingle").alias("_rare"))
+    placed = large.join(counts, "id", "left").withColumn("rare", F.coalesce("_rare", F.lit(0))).drop("_rare")
+    still = _open(placed, labels)
+    labels = follow(_stars(still, F.struct("rare", -F.col("n"), "id")))
+
+    still = _open(placed, labels)
+    of_rare = _open(rare.join(still.select("id", "n").distinct(), "id"), labels, "shingle")
+    labels = follow(_pairs(of_rare, sized, "shingle"))
+
+    still = _open(placed, labels)
+    least = stage(still.groupBy("key").agg(F.min("n").alias("least")), "near-least")
+    often = F.col("n") - F.col("rare")
+    hopeful = still.join(least, "key").filter(enough(often, F.col("n"), F.greatest("least", often))).select("key", "id", "n", "rare")
+    hopeful = stage(hopeful, "near-hopeful")
+    ids = hopeful.select("id", "n", "rare").distinct()
+    listed = rare.join(ids.select("id"), "id").groupBy("id").agg(F.collect_list("shingle").alias("_rare"))
+    cores = ids.join(sets, "id").join(listed, "id", "left").select(
+        "id", "n", F.array_except("set", F.coalesce("_rare", F.array().cast("array<bigint>"))).alias("core")
     )
-    hopeful = stage(_open(hopeful.drop("in_key", "least")), "near-hopeful")
-    # Ids meet in many keys; joined by the keys that hang together, a pair is made once.
-    first = F.min("id").over(Window.partitionBy("key"))
-    chained = stage(hopeful.select(first.alias("a"), F.col("id").alias("b")).filter("a < b").distinct(), "near-chained")
-    groups = components(chained).withColumnRenamed("component", "group")
-    rows = hopeful.select("id", "n", "component", "often").distinct().join(groups, "id")
-    by_key = _pairs(rows, "group", sized & enough(F.least("a_often", "b_often"), F.col("a_n"), F.col("b_n")))
-    return small.union(by_shingle).union(by_key).distinct()
+    cores = stage(cores.select("id", "n", F.xxhash64("core").alias("core_1"), F.hash("core").alias("core_2")), "near-cores")
+    smallest = stage(cores.groupBy("core_1", "core_2").agg(F.min(F.struct("n", "id")).alias("s")), "near-smallest")
+    own = cores.join(smallest, ["core_1", "core_2"]).select("id", F.col("s.id").alias("for"), F.col("s.n").alias("for_n"))
+    found = stage(confirmed(own.filter("id != for").select(F.col("for").alias("a"), F.col("id").alias("b")), sets, percent), "near-links")
+    labels = merged(labels, found)
+    left = own.join(found.select(F.col("b").alias("id"), F.lit(True).alias("_linked")), "id", "left")
+    speaker = left.select("id", F.when(F.col("_linked"), F.col("for")).otherwise(F.col("id")).alias("for"))
+    spoken = hopeful.select("key", "id").join(speaker, "id").select("key", F.col("for").alias("id")).distinct().join(ids, "id")
+    apart = _open(spoken, labels).withColumn("often", often)
+    return follow(_pairs(apart, sized & enough(F.least("a_often", "b_often"), F.col("a_n"), F.col("b_n"))))
 
 
 def verdicts(docs: DataFrame, words: int = 5, percent: int = 80, half: int = HALF, rows: int = ROWS) -> DataFrame:
@@ -247,31 +303,22 @@ def verdicts(docs: DataFrame, words: int = 5, percent: int = 80, half: int = HAL
         named.groupBy("set_1", "set_2").agg(F.min("at").alias("id"), F.min("doc_id").alias("doc"), F.min("n_shingles").alias("n")),
         "near-classes",
     )
-    sizes = classes.select("id", "n")
     members = named.join(classes.select(F.col("id").alias("at")), "at").select(
         F.col("at").alias("id"), F.explode(table_keys(F.col("left"), F.col("right"))).alias("key")
     )
-    # One shuffle by key serves both the aggregate and the join.
-    members = members.repartition("key")
-    shared = members.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
-    shared = stage(members.join(shared.select("key", "first"), "key"), "near-shared")
+    keys = members.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("_last")).filter("first < _last")
+    shared = stage(members.join(stage(keys.select("key", "first"), "near-keys"), "key"), "near-shared")
     # Every id against two of the smallest ids in its keys: enough to make most groups one component.
     ends = shared.filter("id != first").groupBy("id").agg(F.min("first").alias("_low"), F.max("first").alias("_high"))
     stars = ends.select(F.explode(F.array_distinct(F.array("_low", "_high"))).alias("a"), F.col("id").alias("b"))
-    stars = stage(stars, "near-stars")
     # The texts of candidates alone are shingled again, one row of each class.
     ids = shared.select("id").distinct()
     texts = _narrow(docs).join(signed.select(F.col("at").alias("id"), "row").join(ids, "id"), "row").select("id", "text")
     sets = stage(_sets(texts, words).dropDuplicates(["id"]), "near-sets")
-    links = stage(confirmed(stars, sets, percent), "near-links")
-    labels = components(links)
-
-    placed = shared.select("key", "id").join(labels, "id", "left").join(sizes, "id")
-    placed = stage(placed.select("key", "id", "n", F.coalesce("component", "id").alias("component")), "near-placed")
-    rest = across(placed, sets, percent).join(stars, ["a", "b"], "left_anti")
-    more = stage(confirmed(rest, sets, percent), "near-links")
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    alone = stage(sets.select("id", F.col("id").alias("component")), "near-labels")
+    labels = merged(alone, stage(confirmed(stars, sets, percent), "near-links"))
+    placed = shared.select("key", "id").join(classes.select("id", "n"), "id")
+    labels = across(placed, labels, sets, percent)
 
     # A component takes its smallest doc_id, and the class that has it is kept; classes without doc_id come last.
     rank = F.struct(F.col("doc").isNull().alias("none"), "doc", "set_1", "set_2")
@@ -279,15 +326,16 @@ def verdicts(docs: DataFrame, words: int = 5, percent: int = 80, half: int = HAL
     all_ = classes.join(labels.join(best, "component").select("id", "best"), "id", "left").select(
         "set_1", "set_2",
         F.when(F.col("best").isNull(), F.col("doc")).otherwise(F.col("best.doc")).alias("component_id"),
-        (F.col("best").isNull() | ((F.col("best.set_1") == F.col("set_1")) & (F.col("best.set_2") == F.col("set_2")))).alias("_kept"),
+        (F.col("best").isNull() | ((F.col("best.set_1") == F.col("set_1")) & (F.col("best.set_2") == F.col("set_2")))).alias("speaks"),
     )
     found = (
         signed.select("doc_id", "n_shingles", "set_1", "set_2", "row")
         .join(all_, ["set_1", "set_2"], "left")
         .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     )
-    kept = F.col("doc_id").eqNullSafe(F.col("component_id")) & F.coalesce("_kept", F.lit(True))
-    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "row", "set_1", "set_2")
+    speaks = F.col("doc_id").eqNullSafe(F.col("component_id")) & F.coalesce("speaks", F.lit(True))
+    kept = F.when(F.col("doc_id").isNull(), speaks).otherwise(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), speaks.alias("speaks"), "row", "set_1", "set_2")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, half: int = HALF, rows: int = ROWS) -> DataFrame:
@@ -295,25 +343,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, half: in
 
     Rows of equal sets are one class, so that copies are never paired. The
     classes are compared with the smallest ones of their table keys; where more
-    than one component is left in a key, all its classes of different components
-    that can be alike are compared as well, so no link between components is missed.
+    than one component is left in a key, ``across`` finds the links between them
+    that remain, none of them missed.
 
     Null and empty texts have no set and are linked with nothing; they are kept.
-    A component has the smallest doc_id of its rows, null if none has one. Kept
-    are the rows of one class of the component that have this doc_id: all of
-    them, if they repeat it. Texts of one doc_id that are not alike are told
-    apart. Other columns are ignored.
+    A component has the smallest doc_id of its rows, null if none has one. ``kept``
+    is doc_id = component_id; rows that repeat the id are kept together. Of rows
+    without doc_id in a component without one those of one class are kept. Texts
+    of one doc_id that are not alike are told apart. An empty table gives no rows;
+    other columns are ignored.
     """
     found = verdicts(docs, words, percent, half, rows)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each component of ``docs`` with all its columns: of its kept rows the one whose row key is smallest.
+    """One row of each component of ``docs`` with all its columns.
 
-    Rows without a set all go on, but those equal in doc_id and text as one row.
+    It is a row of the class that has the component's smallest doc_id, the one whose
+    row key is smallest. Rows without a set all go on, but those equal in doc_id
+    and text as one row. Of rows that differ in other columns only, any one may go on.
     """
-    kept = verdicts(docs, words, percent).filter("kept")
-    alone = kept.filter("n_shingles = 0").select(F.col("row").alias("_row"))
-    chosen = kept.filter("n_shingles > 0").groupBy("set_1", "set_2").agg(F.min("row").alias("_row")).select("_row")
-    return docs.withColumn("_row", row_key()).join(chosen.union(alone), "_row", "left_semi").dropDuplicates(["_row"]).select(docs.columns)
+    spoken = verdicts(docs, words, percent).filter("speaks")
+    alone = spoken.filter("n_shingles = 0").select(F.col("row").alias(_ROW))
+    chosen = spoken.filter("n_shingles > 0").groupBy("set_1", "set_2").agg(F.min("row").alias(_ROW)).select(_ROW)
+    rows = docs.withColumn(_ROW, row_key()).join(chosen.union(alone), _ROW, "left_semi")
+    return rows.dropDuplicates([_ROW]).select(*[F.col(f"`{c}`") for c in docs.columns])

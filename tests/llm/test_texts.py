@@ -349,6 +349,28 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, few):
         assert got == plain_components(rows, words, 80)
 
 
+@pytest.mark.parametrize("words", [2, 5])
+def test_rows_grow_with_a_group_of_near_copies(spark, monkeypatch, words):
+    """One word changed in each copy: compared pairs and followed links stay in proportion to the group."""
+    rng, made = random.Random(11), []
+    base = [f"w{rng.randrange(10_000)}" for _ in range(60)]
+    confirmed, components = near_dups.confirmed, near_dups.components
+    monkeypatch.setattr(near_dups, "confirmed", lambda p, s, q: made.append(p.count()) or confirmed(p, s, q))
+    monkeypatch.setattr(near_dups, "components", lambda p: made.append(p.count()) or components(p))
+    sums = []
+    for n in (500, 1000):
+        rows = []
+        for k in range(n):
+            at = rng.randrange(60)
+            rows.append((k, " ".join(base[:at] + [f"x{n}y{k}"] + base[at + 1 :])))
+        made.clear()
+        got = {r.doc_id: r.component_id for r in near_dups.near_duplicates(docs(spark, rows), words=words).collect()}
+        sums.append(sum(made))
+        if n == 500:
+            assert got == {d: c for d, (_, c) in plain_components(rows, words, 80).items()}
+    assert sums[1] < 2.3 * sums[0], sums
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(None, "a b c"), (None, None), (4, "a b c"), (4, "a b c"), (2, ""), (1, "z")]
     got = sorted(near_dups.near_duplicates(docs(spark, rows), words=2).collect(), key=lambda r: (r.doc_id or 0, r.n_shingles))
