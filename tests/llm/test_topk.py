@@ -100,3 +100,22 @@ def test_walk_prunes_clustered_data():
     for n, q in enumerate(queries.ids):
         scores = np.delete(np.floor(points) @ np.floor(points[q]), q).astype(np.int64)
         assert walk.best[n][0].tolist() == sorted(scores.tolist(), reverse=True)[:5]
+
+
+def test_blocks_of_far_cells_are_not_sent(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_VALUES", 64)
+    sent, walked = [], topk._walked
+    monkeypatch.setattr(topk, "_walked", lambda pairs, *rest: sent.append(pairs.count()) or walked(pairs, *rest))
+    rng = np.random.default_rng(5)
+    centers = rng.normal(size=(30, 4)) * 40
+    rows = [(n, [float(x) for x in centers[n % 30] + 0.01 * rng.normal(size=4)]) for n in range(3000)]
+    assert search(spark, rows, 10, 5) == brute(rows, lambda i: i % 10 == 0, 5)
+    # At least 3000 / 64 blocks, and two groups of queries in each of three clusters.
+    assert sum(sent) < 0.3 * (3000 // 64) * 6, sent
+
+
+def test_digits_sort_like_their_numbers():
+    rng = np.random.default_rng(8)
+    numbers = [int(a) * 10 ** int(b) + int(c) for a, b, c in zip(rng.integers(-9, 9, 200), rng.integers(0, 40, 200), rng.integers(-9, 9, 200))]
+    assert all(topk.joined(topk.digits(x, 4)) == x for x in numbers)
+    assert sorted(numbers) == [topk.joined(d) for d in sorted(topk.digits(x, 4) for x in numbers)]
