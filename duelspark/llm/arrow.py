@@ -28,6 +28,34 @@ def kept_in_worker(key, make: Callable):
     return _STATE[key]
 
 
+#: A memo keeps keys of up to so many bytes (or characters), and so many bytes of keys and values.
+KEY_BYTES, MEMO_BYTES = 64, 64 << 20
+
+
+class Memo(dict):
+    """A function of short strings that come again and again, computed once for each.
+
+    Long keys are computed each time: in a text without blanks one key may be all
+    of it. At ``most`` entries or MEMO_BYTES everything is forgotten, which changes no
+    result.
+    """
+
+    def __init__(self, make: Callable, most: int):
+        super().__init__()
+        self.make, self.most, self.bytes = make, most, 0
+
+    def __missing__(self, key):
+        made = self.make(key)
+        if len(key) <= KEY_BYTES:
+            size = len(key) + (len(made) if hasattr(made, "__len__") else 8)
+            if len(self) >= self.most or self.bytes + size > MEMO_BYTES:
+                self.clear()
+                self.bytes = 0
+            self.bytes += size
+            self[key] = made
+        return made
+
+
 def slices(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes, one row at least."""
     for batch in batches:

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duelspark.llm.arrow import arrow_schema, kept_in_worker, map_batches, rows_of, slices, utf8
+from duelspark.llm.arrow import KEY_BYTES, Memo, arrow_schema, kept_in_worker, map_batches, rows_of, slices, utf8
 
 #: First and last code points of scripts; all other letters are one more.
 SCRIPTS = [
@@ -37,6 +37,9 @@ BUCKETS = 1 << 15
 #: Words of one batch or worker whose scores are kept.
 KEPT_WORDS = 400_000
 
+#: Longer stretches of letters are cut.
+WORD_LETTERS = 32
+
 #: What a change of language between two words costs, in units of a word's score.
 PENALTY = 8.0
 
@@ -48,20 +51,6 @@ _SPACED = bytes(
 )
 
 
-class _Memo(dict):
-    """A function of few different short strings, computed once for each."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, key):
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        made = self[key] = self.make(key)
-        return made
-
-
 def _script(letter: str) -> int:
     point = ord(letter)
     for name, first, last in SCRIPTS:
@@ -71,42 +60,54 @@ def _script(letter: str) -> int:
 
 
 #: The script of a letter, and the bucket of a trigram.
-script = _Memo(_script)
-bucket = _Memo(lambda gram: zlib.crc32(gram.encode()) % BUCKETS)
+script = Memo(_script, KEPT_WORDS)
+bucket = Memo(lambda gram: zlib.crc32(gram.encode()) % BUCKETS, KEPT_WORDS)
+
+
+def stretches(rough: bytes) -> list[bytes]:
+    """The words of a stretch: letters of one script, at most WORD_LETTERS of them."""
+    if rough.isascii():
+        return [rough[at : at + WORD_LETTERS] for at in range(0, len(rough), WORD_LETTERS)]
+    out, word, kind = [], [], None
+    for c in rough.decode("utf-8", "replace").lower():
+        now = script[c] if c.isalpha() else None
+        if word and (now != kind or len(word) == WORD_LETTERS):
+            out.append("".join(word).encode())
+            word = []
+        kind = now
+        if now is not None:
+            word.append(c)
+    if word:
+        out.append("".join(word).encode())
+    return out
 
 
 def rough_words(text: bytes) -> list[bytes]:
-    """Lower-cased stretches of letters; beyond ASCII, signs stay in them until ``letters``."""
-    return text.translate(_SPACED).split()
-
-
-def letters(word: bytes) -> str:
-    """The letters of a rough word, signs as blanks."""
-    if word.isascii():
-        return word.decode()
-    text = word.decode("utf-8", "replace").lower()
-    return text if text.isalpha() else "".join([c if c.isalpha() else " " for c in text]).strip()
-
-
-def scripts_of(plain: str) -> dict[int, int]:
-    """Letters per script of the letters of a word."""
-    if plain.isascii():
-        return {_LATIN: len(plain)} if plain else {}
-    out: dict[int, int] = {}
-    for c in plain:
-        if c != " ":
-            out[script[c]] = out.get(script[c], 0) + 1
-    return out
+    """Lower-cased stretches of letters, of at most KEY_BYTES; beyond ASCII, signs and several scripts stay in them until ``stretches``."""
+    words = text.translate(_SPACED).split()
+    if words and max(map(len, words)) > KEY_BYTES:
+        words = [w for word in words for w in (stretches(word) if len(word) > KEY_BYTES else (word,))]
+    return words
+
 
+def is_word(rough: bytes) -> bool:
+    """Whether a rough word is one word as it stands."""
+    return len(rough) <= WORD_LETTERS if rough.isascii() else stretches(rough) == [rough]
 
-def features(plain: str) -> list[int]:
+
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a text: stretches of letters of one script."""
+    return [w for rough in rough_words(text) for w in ((rough,) if is_word(rough) else stretches(rough))]
+
+
+def script_of(word: str) -> int:
+    return _LATIN if word.isascii() else script[word[0]]
+
+
+def features(word: str) -> list[int]:
     """Buckets of the trigrams of a word and its edges, and of the word itself."""
-    out = []
-    for part in plain.split():
-        coded = f"^{part}$"
-        out += [bucket[coded[i : i + 3]] for i in range(len(coded) - 2)]
-        out.append(zlib.crc32(coded.encode()) % BUCKETS)
-    return out
+    coded = f"^{word}$"
+    return [bucket[coded[i : i + 3]] for i in range(len(coded) - 2)] + [zlib.crc32(coded.encode()) % BUCKETS]
 
 
 def learn(docs: DataFrame) -> dict:
@@ -130,14 +131,16 @@ def learn(docs: DataFrame) -> dict:
     def counted(words):
         for lang, seen in words.items():
             grams, lengths, scripts = [], [], np.zeros(len(NAMES), np.int64)
-            for word, n in seen.items():
-                plain = letters(word)
-                found = features(plain)
-                grams += found
-                lengths.append(len(found))
-                for kind, size in scripts_of(plain).items():
-                    scripts[kind] += n * size
-            times = np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), lengths)
+            counts = []
+            for rough, n in seen.items():
+                for word in (rough,) if is_word(rough) else stretches(rough):
+                    plain = word.decode()
+                    found = features(plain)
+                    grams += found
+                    lengths.append(len(found))
+                    counts.append(n)
+                    scripts[script_of(plain)] += n * len(plain)
+            times = np.repeat(np.array(counts, np.int64), lengths)
             grams = np.bincount(np.array(grams, np.int64), weights=times, minlength=BUCKETS).astype(np.int64)
             for kind, found in ((0, grams), (1, scripts)):
                 at = np.flatnonzero(found)
@@ -176,51 +179,59 @@ class Labeller:
     def __init__(self, model: dict, penalty: float):
         self.names, self.logs, self.penalty = model["names"], model["logs"], penalty
         # A script that no language is written in narrows nothing.
+        self.written = model["written"].any(axis=1)
         self.candidates = model["written"] | ~model["written"].any(axis=1, keepdims=True)
         self.clear()
 
     def clear(self) -> None:
         self.rows: dict[bytes, int] = {}
+        self.parts: dict[bytes, list[bytes]] = {}
         self.scores: list[np.ndarray] = [np.zeros((0, len(self.names)), np.float32)]
         self.sizes: list[np.ndarray] = [np.zeros(0, np.int64)]
+        self.known: list[np.ndarray] = [np.zeros(0, np.int64)]
 
     def add(self, words: list[bytes]) -> None:
-        """Scores words that are new; letters count as far as they are letters."""
-        grams, lengths, sizes, allowed = [], [], [], np.tile(self.candidates[_LATIN], (len(words), 1))
-        for n, word in enumerate(words):
-            plain = letters(word)
-            found = features(plain)
+        """Scores words that are new: the sum of their features' logarithms over the root of their number, best is 0."""
+        plain = [word.decode() for word in words]
+        grams, lengths = [], []
+        for word in plain:
+            found = features(word)
             grams += found
             lengths.append(len(found))
-            scripts = scripts_of(plain)
-            sizes.append(sum(scripts.values()))
-            if not plain.isascii() or not plain:
-                allowed[n] = True
-                for kind in scripts:
-                    allowed[n] &= self.candidates[kind]
         self.rows.update(zip(words, range(len(self.rows), len(self.rows) + len(words))))
-        self.sizes.append(np.array(sizes, np.int64))
-        lengths = np.array(lengths)
-        got = np.zeros((len(words), len(self.names)), np.float32)
-        full = np.flatnonzero(lengths)
-        if len(full):
-            starts = np.concatenate([[0], np.cumsum(lengths[full])[:-1]])
-            got[full] = np.add.reduceat(self.logs[np.array(grams)], starts, axis=0) / np.sqrt(lengths[full])[:, None]
-        allowed |= ~allowed.any(axis=1, keepdims=True)
-        got = np.where(allowed, got, got + self.FOREIGN)
-        self.scores.append(got - got.max(axis=1, keepdims=True, initial=-np.inf))
-
-    def label(self, texts: list[bytes]) -> list[tuple[list[bytes], np.ndarray, np.ndarray]]:
-        """Per text: its rough words, the language number of each, and the letters of each."""
-        if len(self.rows) > KEPT_WORDS:
+        sizes, kinds = np.array([len(word) for word in plain], np.int64), [script_of(word) for word in plain]
+        self.sizes.append(sizes)
+        self.known.append(np.where(self.written[kinds], sizes, 0) if words else sizes)
+        if words:
+            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+            got = np.add.reduceat(self.logs[np.array(grams)], starts, axis=0) / np.sqrt(lengths)[:, None].astype(np.float32)
+            allowed = self.candidates[kinds]
+            got = np.where(allowed, got, got + np.float32(self.FOREIGN))
+            self.scores.append((got - got.max(axis=1, keepdims=True, initial=-np.inf)).astype(np.float32))
+
+    def split(self, texts: list[bytes]) -> list[list[bytes]]:
+        """The words of each text. Rough words that are none are remembered with their words."""
+        rough = [rough_words(text) for text in texts]
+        new = set().union(*rough).difference(self.rows, self.parts)
+        self.parts.update((word, stretches(word)) for word in new if not is_word(word))
+        out = []
+        for words in rough:
+            if not self.parts.keys().isdisjoint(words):
+                words = [w for word in words for w in self.parts.get(word, (word,))]
+            out.append(words)
+        return out
+
+    def label(self, texts: list[bytes]) -> list[tuple[list[bytes], np.ndarray, np.ndarray, int]]:
+        """Per text: its words, the language number of each, the letters of each, and all letters of scripts that some language has."""
+        if len(self.rows) + len(self.parts) > KEPT_WORDS:
             self.clear()
-        split = [rough_words(text) for text in texts]
+        split = self.split(texts)
         self.add(list(set().union(*split).difference(self.rows)))
-        scores, sizes = np.concatenate(self.scores), np.concatenate(self.sizes)
-        self.scores, self.sizes = [scores], [sizes]
+        scores, sizes, known = (np.concatenate(x) for x in (self.scores, self.sizes, self.known))
+        self.scores, self.sizes, self.known = [scores], [sizes], [known]
         ids = [np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words)) for words in split]
         paths = viterbi([scores[i] for i in ids], self.penalty) if self.names else [np.zeros(len(i), np.int64) for i in ids]
-        return [(w, path, sizes[i] if len(i) else i) for w, path, i in zip(split, paths, ids)]
+        return [(w, path, sizes[i], int(known[i].sum())) for w, path, i in zip(split, paths, ids)]
 
 
 def viterbi(scores: list[np.ndarray], penalty: float) -> list[np.ndarray]:
@@ -276,9 +287,10 @@ SPANS = "array<struct<lang:string,first:bigint,words:bigint,letters:bigint>>"
 
 
 def _verdicts(labeller: Labeller, texts: list[bytes]) -> dict[str, list]:
-    names, out = labeller.names, {"lang_pred": [], "score": [], "lang_spans": []}
-    for words, path, sizes in labeller.label(texts):
+    names, out = labeller.names, {"lang_pred": [], "score": [], "lang_spans": [], "known": []}
+    for words, path, sizes, known in labeller.label(texts):
         total, spans, lang, score = int(sizes.sum()), [], UNKNOWN, 0.0
+        out["known"].append(known / total if total else 0.0)
         if total and names:
             share = np.bincount(path, weights=sizes, minlength=len(names))
             lang, score = names[int(share.argmax())], float(share.max() / total)
@@ -297,6 +309,7 @@ def _verdicts(labeller: Labeller, texts: list[bytes]) -> dict[str, list]:
 def identify(docs: DataFrame, model: dict, penalty: float = PENALTY) -> DataFrame:
     """doc_id, lang_pred, score, lang_spans of every row of ``docs`` (doc_id, text, ...).
 
+    A word is a stretch of letters of one script, of at most WORD_LETTERS.
     ``lang_spans``: runs of words of one language, with its first word (from 0),
     words and letters. ``lang_pred`` is the language with most letters (ties: the
     first by name), ``score`` its share of all letters. A text that is null or has
@@ -314,18 +327,27 @@ def identify(docs: DataFrame, model: dict, penalty: float = PENALTY) -> DataFram
     return map_batches(narrow, f"doc_id bigint, lang_pred string, score double, lang_spans {SPANS}", each)
 
 
-def identified(docs: DataFrame, model: dict, penalty: float = PENALTY) -> DataFrame:
-    """The rows of ``docs`` whose text has a language, with all their columns as they are; null ``text`` has none."""
+def identified(docs: DataFrame, model: dict, penalty: float = PENALTY, known: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose language can be told; a null ``lang`` is filled with it, all else stays as it is.
+
+    Rejected are texts that are null or without a letter, and those with less than
+    ``known`` of their letters in scripts that some learned language is written in:
+    whatever the model says of the others is no language it has seen.
+    """
     import pyarrow as pa
 
     ready: list[Labeller] = []
+    lang, text = docs.columns.index("lang"), docs.columns.index("text")
 
     def run(batches):
         for batch in slices(batches):
             if not ready:
                 ready.append(Labeller.of(model, penalty))
-            found = _verdicts(ready[0], utf8(batch.column("text")))["lang_pred"]
-            yield batch.filter(pa.array([lang != UNKNOWN for lang in found]))
+            found = _verdicts(ready[0], utf8(batch.column(text)))
+            told = [x if x is not None else y for x, y in zip(batch.column(lang).to_pylist(), found["lang_pred"])]
+            good = [p != UNKNOWN and k >= known for p, k in zip(found["lang_pred"], found["known"])]
+            field = batch.schema.field(lang)
+            yield batch.set_column(lang, field, pa.array(told, field.type)).filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

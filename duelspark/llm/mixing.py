@@ -68,8 +68,9 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = 1)
 
     One row per copy, in partitions ranged and sorted by ``shuffle_key``. Which
     documents are repeated depends on doc_id, rate and seed alone, so repeated
-    rows are repeated alike. A null doc_id is an id like any other. Columns of
-    these names in ``docs`` are replaced.
+    rows are repeated alike. A null doc_id is an id like any other, a null text has
+    no size but comes as often as its id says, and an empty table gives no rows.
+    Columns of these names in ``docs`` are replaced.
     """
     docs = docs.drop("rate", "copies", "copy", "shuffle_key")
     key = F.col("doc_id").cast("long")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duelspark.llm.arrow import map_batches, utf8
+from duelspark.llm.arrow import KEY_BYTES, map_batches, utf8
 from duelspark.session import stage
 
 HALF, ROWS = 10, 2
@@ -65,7 +65,9 @@ class Shingler:
             for word in words:
                 code = get(word)
                 if code is None:
-                    code = self.hashes[word] = xxhash.xxh64_intdigest(word)
+                    code = xxhash.xxh64_intdigest(word)
+                    if len(word) <= KEY_BYTES:
+                        self.hashes[word] = code
                 codes.append(code)
             codes = np.array(codes, np.uint64)
             if len(codes) < self.words:

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelspark.llm.arrow import kept_in_worker, map_batches, utf8
+from duelspark.llm.arrow import Memo, kept_in_worker, map_batches, utf8
 
 #: Fixed values of the model format: the blank sign, piece types and model types.
 BLANK = "▁"
@@ -84,10 +84,10 @@ class Transducer:
             else p.piece.replace(BLANK, " ").encode()
             for p in model.pieces
         ]
-        self.words = _Kept(self._word)
-        self.parts = _Kept(self._part)
-        self.edges = _Kept(self._edges)
-        self.pairs = _Kept(self._met)
+        self.words = Memo(self._word, KEPT)
+        self.parts = Memo(self._part, KEPT)
+        self.edges = Memo(self._edges, KEPT)
+        self.pairs = Memo(self._met, KEPT)
 
     @classmethod
     def of(cls, path: str) -> Transducer:
@@ -222,28 +222,16 @@ class Transducer:
         return text[1:] if self.prefix and text[:1] == b" " else text
 
 
-class _Kept(dict):
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, key):
-        made = self.make(key)
-        if len(self) >= KEPT:
-            self.clear()
-        self[key] = made
-        return made
-
-
-def encode(docs: DataFrame, model: str) -> DataFrame:
+def encode(docs: DataFrame, model: str, keep: dict[str, str] | None = None) -> DataFrame:
     """The columns of ``docs`` but for ``text``, with n_ids and ids (array of int).
 
     Null and empty text have no ids. Rows of any columns pass; repeated ones are
-    encoded alike. Columns of the new names in ``docs`` are replaced.
+    encoded alike. Columns of the new names in ``docs`` are replaced; ``keep`` gives
+    such a column, whose values are wanted, another name first.
     """
     from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
-    docs = docs.drop("n_ids", "ids")
+    docs = docs.withColumnsRenamed(keep or {}).drop("n_ids", "ids")
     rest = [f for f in docs.schema.fields if f.name != "text"]
     schema = StructType(list(rest)).add("n_ids", LongType()).add("ids", ArrayType(IntegerType()))
 
@@ -273,7 +261,11 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
 
 
 def encoded_digest(docs: DataFrame, model: str) -> DataFrame:
-    """doc_id, n_ids, n_bytes (ids that spell a byte), ids_crc32, decoded_sha256, exact (decoded text equals the text)."""
+    """doc_id, n_ids, n_bytes (ids that spell a byte), ids_crc32, decoded_sha256, exact (decoded text equals the text).
+
+    Null text is empty and has no ids; repeated rows get equal results, an empty
+    table none; other columns are ignored.
+    """
     import hashlib
     import zlib
 

@@ -29,7 +29,7 @@ def best(key: Column, weights: list[float]) -> Column:
 
 
 def assign(df: DataFrame, key: str, weights: list[float], name: str = "shard") -> DataFrame:
-    """Adds the shard of each row. A null key is a key of its own, the same for all rows that have none."""
+    """Adds the shard of each row. A null key is a key of its own, the same for all rows that have none; no rows give no rows."""
     return df.withColumn(name, -best(F.col(key).cast("long"), weights).getField("minus"))
 
 
@@ -38,7 +38,8 @@ def number(df: DataFrame, group: str, order: list[str], block: str, name: str =
 
     A group may be a third of all rows: rows are numbered inside (group, block)
     and shifted by the rows of the group's smaller blocks. ``df`` is read twice
-    and must be stored. Rows equal in ``order`` are numbered in any order.
+    and must be stored. Rows equal in ``order`` are numbered in any order; an empty
+    table stays empty.
     """
     sizes = df.groupBy(group, block).agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(group).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duelspark.llm.arrow import arrow_schema, kept_in_worker, map_batches, rows_of, slices, utf8
+from duelspark.llm.arrow import Memo, arrow_schema, kept_in_worker, map_batches, rows_of, slices, utf8
 
 BLOCKS = (
     "part int, block int, first_doc bigint, last_doc bigint, docs array<bigint>, n_tokens array<bigint>, "
@@ -32,7 +32,7 @@ BLOCKS = (
 #: A block is closed at so many documents or bytes.
 BLOCK_DOCS, BLOCK_BYTES = 256, 1 << 20
 
-#: The dictionary is trained on the first ids of at most so many documents; it changes sizes, never ids.
+#: The dictionary is trained on at most so many documents, on a window of so many ids of each; it changes sizes, never ids.
 TRAIN_DOCS, TRAIN_IDS, DICTIONARY_BYTES = 1000, 4096, 1 << 16
 
 #: Distinct pieces whose ids a Python worker keeps.
@@ -59,7 +59,11 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.pieces = _Pieces(self.tokenizer)
+        self.pieces = Memo(self._ids, KEPT_PIECES)
+
+    def _ids(self, piece: bytes) -> bytes:
+        ids = self.tokenizer.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return np.asarray(ids, "<u4").tobytes()
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -86,22 +90,10 @@ class Encoder:
         return b"".join(out)
 
 
-class _Pieces(dict):
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
-
-    def __missing__(self, piece: bytes) -> bytes:
-        ids = self.tokenizer.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).ids
-        if len(self) >= KEPT_PIECES:
-            self.clear()
-        found = self[piece] = np.asarray(ids, "<u4").tobytes()
-        return found
-
-
 def train(docs: DataFrame, tokenizer: str, sample: int = TRAIN_DOCS) -> bytes:
     """A dictionary from serialized ids of at most ``sample`` documents, those whose ids hash lowest.
 
+    Of a long document a window of its ids counts, which starts where its hash says.
     Empty where there is too little text to train on; frames then stand alone.
     """
     rows = docs.count()
@@ -111,14 +103,17 @@ def train(docs: DataFrame, tokenizer: str, sample: int = TRAIN_DOCS) -> bytes:
         .filter((F.col("_h") < F.lit(int((1 << 32) * min(1.0, 2 * sample / max(1, rows))))) & F.col("text").isNotNull())
         .orderBy("_h")
         .limit(sample)
-        .select("text")
+        .select("text", "_h")
     )
 
     def serialized(batch):
         coder = Encoder.of(tokenizer)
-        kind = f"<u{coder.width}"
-        ids = [np.frombuffer(coder.encode(text), "<u4")[:TRAIN_IDS] for text in utf8(batch.column("text"))]
-        return {"ids": [x.astype(kind).tobytes() for x in ids]}
+        kind, out = f"<u{coder.width}", []
+        for text, at in zip(utf8(batch.column("text")), batch.column("_h").to_pylist()):
+            ids = np.frombuffer(coder.encode(text), "<u4")
+            start = at % max(1, len(ids) - TRAIN_IDS + 1)
+            out.append(ids[start : start + TRAIN_IDS].astype(kind).tobytes())
+        return {"ids": out}
 
     samples = [row.ids for row in map_batches(chosen, "ids binary", serialized).collect() if row.ids]
     size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 8)
@@ -180,7 +175,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
         if docs:
             yield close()
 
-    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of one doc_id are ranged by the start of their texts, so that they fill more than one task.
+    ordered = docs.repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(pack, BLOCKS).write.parquet(f"{path}/blocks")
 
 

@@ -64,3 +64,30 @@ def test_one_row_of_each_group(spark):
     assert sorted(r.doc_id or 0 for r in kept) == [0, 1, 5, 7]
     assert {r.text for r in kept if r.doc_id == 5} == {"a unique text of some words"}
     assert {r.text for r in kept if r.doc_id is None} <= {far, near}
+
+
+def test_extra_columns_keep_their_values(spark):
+    """Columns named like those the operators make pass with their values, row by row."""
+    rows = docs(spark, [(n, f"text number {n} of some words in a row {'x' * n}") for n in range(40)])
+    names = ["rate", "copies", "copy", "shuffle_key", "_source", "row", "__near_row", "kept", "component_id", "n_shingles", "id", "lang_pred", "Score"]
+    rows = rows.withColumns({"lang": F.lit("en")} | {c: F.concat(F.lit(c), F.col("doc_id")) for c in names})
+    for _, step in corpus_pipeline.STAGES[:3]:
+        out = step(spark, rows, FOLDER)
+        assert out.columns == rows.columns and out.subtract(rows).isEmpty() and not out.isEmpty()
+    clash = rows.withColumns({"ids": F.lit("mine"), "n_ids": F.lit("too")})
+    coded = corpus_pipeline.sentencepiece(spark, clash, FOLDER)
+    assert {(r.input_ids, r.input_n_ids) for r in coded.collect()} == {("mine", "too")}
+    assert coded.select("doc_id", *names).subtract(clash.select("doc_id", *names)).isEmpty()
+
+
+def test_predicted_languages_take_effect(spark):
+    start = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    some = F.col("doc_id") % 3 == 0
+    blank = start.withColumn("lang", F.when(~some, F.col("lang")))
+    extra = docs(spark, [(10_001, "Привет мир это русский текст"), (10_002, "日本語の文章です")])
+    got = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, blank.union(extra), FOLDER).collect()}
+    true = {r.doc_id: r.lang for r in start.filter(F.col("text").rlike(r"\p{L}")).collect()}
+    assert got.keys() == true.keys()
+    assert all(got[d] == lang for d, lang in true.items() if d % 3)
+    filled = [d for d in true if d % 3 == 0]
+    assert sum(got[d] == true[d] for d in filled) > 0.9 * len(filled)

@@ -225,6 +225,99 @@ def test_language_spans_and_odd_rows(spark):
     assert {r.lang_pred for r in languages.identify(docs(spark, rows), nothing).collect()} == {"und"}
 
 
+def test_words_end_at_signs_and_scripts():
+    words = lambda text: [w.decode() for w in languages.words_of(text.encode())]
+    assert words("gut。这是中文句子。再见") == ["gut", "这是中文句子", "再见"]
+    assert words("and\u00a0more—text aБв日本カナ x1y") == ["and", "more", "text", "a", "бв", "日本", "カナ", "x", "y"]
+    assert words("É" * 70 + " " + "a" * 70) == ["é" * 32, "é" * 32, "é" * 6, "a" * 32, "a" * 32, "a" * 6]
+    assert [words(t) for t in ("", "12 …", "don't")] == [[], [], ["don", "t"]]
+
+
+def plain_model(rows):
+    """Counts of trigrams and words in buckets, and of letters by script, by the definitions."""
+    grams, kinds = {}, {}
+    for text, lang in rows:
+        for word in languages.words_of(text.encode()):
+            word = word.decode()
+            coded = f"^{word}$"
+            for gram in [coded[i : i + 3] for i in range(len(coded) - 2)] + [coded]:
+                at = zlib.crc32(gram.encode()) % languages.BUCKETS
+                grams.setdefault(lang, {})[at] = grams.setdefault(lang, {}).get(at, 0) + 1
+            for c in word:
+                name = next((n for n, a, b in languages.SCRIPTS if a <= ord(c) <= b), "other")
+                kinds.setdefault(lang, {})[name] = kinds.setdefault(lang, {}).get(name, 0) + 1
+    names = sorted(grams)
+    filled = len(set().union(*grams.values()))
+    sums = {lang: sum(grams[lang].values()) for lang in names}
+    log = lambda lang, at: np.log((grams[lang].get(at, 0) + 0.5) / (sums[lang] + 0.5 * filled))
+    written = lambda lang, name: kinds[lang].get(name, 0) >= languages.SCRIPT_SHARE * sum(kinds[lang].values())
+    return names, log, written
+
+
+def plain_language(text, names, log, written):
+    scores, sizes = [], []
+    for word in languages.words_of((text or "").encode()):
+        word = word.decode()
+        coded = f"^{word}$"
+        ats = [zlib.crc32(g.encode()) % languages.BUCKETS for g in [coded[i : i + 3] for i in range(len(coded) - 2)] + [coded]]
+        name = next((n for n, a, b in languages.SCRIPTS if a <= ord(word[0]) <= b), "other")
+        able = [lang for lang in names if written(lang, name)] or names
+        row = [sum(log(lang, at) for at in ats) / len(ats) ** 0.5 - (0 if lang in able else 30) for lang in names]
+        scores.append([x - max(row) for x in row])
+        sizes.append(len(word))
+    if not scores:
+        return "und", 0.0
+    best, came = scores[0], []
+    for row in scores[1:]:
+        top = max(range(len(names)), key=lambda k: best[k])
+        back = [top if best[top] - languages.PENALTY > best[k] else k for k in range(len(names))]
+        best = [max(best[top] - languages.PENALTY, best[k]) + row[k] for k in range(len(names))]
+        came.append(back)
+    at = max(range(len(names)), key=lambda k: best[k])
+    path = [at]
+    for back in reversed(came):
+        path.append(back[path[-1]])
+    share = [sum(s for s, k in zip(sizes, reversed(path)) if k == n) for n in range(len(names))]
+    top = max(range(len(names)), key=lambda k: share[k])
+    return names[top], share[top] / sum(sizes)
+
+
+def test_language_query_against_a_plain_version(spark):
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang").collect()
+    held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in rows}
+    model = plain_model([(r.text, r.lang) for r in rows if not held[r.doc_id] and r.lang is not None])
+    got = {r.doc_id: r for r in QUERIES["op7_language_id"](spark, FOLDER).collect()}
+    assert got.keys() == held.keys()
+    for r in [r for r in rows if len(r.text) < 3000]:
+        lang, score = plain_language(r.text, *model)
+        found = got[r.doc_id]
+        assert (found.held_out, found.lang_pred) == (held[r.doc_id], lang) and found.score == pytest.approx(score, abs=1e-6)
+
+
+def test_memos_of_texts_without_blanks_are_bounded():
+    from duelspark.llm import arrow
+
+    rng = random.Random(12)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(400)).encode() for _ in range(3000)]
+    coder, cutter, shingler = token_ids.Encoder(WORD_BPE), pieces.Transducer(PIECE_BPE), near_dups.Shingler(5)
+    model = {"names": ["x", "y"], "logs": np.zeros((languages.BUCKETS, 2), np.float32), "written": np.ones((len(languages.NAMES), 2), bool)}
+    labeller = languages.Labeller(model, 8.0)
+    size = lambda memo: sum(len(k) + (len(v) if hasattr(v, "__len__") else 8) for k, v in memo.items())
+    for text in texts[:300]:
+        coder.encode(text)
+        cutter.encode(text)
+    shingler.sets(texts)
+    for at in range(0, 3000, 500):
+        labeller.label(texts[at : at + 500])
+    for memo in (coder.pieces, cutter.words, cutter.parts, shingler.hashes, labeller.rows, labeller.parts):
+        assert all(len(k) <= 4 * arrow.KEY_BYTES for k in memo) and size(memo) < 20e6
+    assert len(coder.pieces) == len(shingler.hashes) == 0
+    memo = arrow.Memo(lambda k: b"v" * 1000, 10**9)
+    for n in range(100_000):
+        memo[n.to_bytes(8, "big")]
+    assert size(memo) <= arrow.MEMO_BYTES
+
+
 def test_scripts_narrow_candidates(spark):
     rows = [(n, t, lang, "s", 0) for n, (t, lang) in enumerate([("мама мыла раму", "ru"), ("the cat sat", "en"), ("la vida es", "es")] * 5)]
     model = languages.learn(spark.createDataFrame(rows, DOCS))
