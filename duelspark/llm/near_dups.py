@@ -31,6 +31,9 @@ FEW = 32
 #: A shingle of at most so many candidates is rare: all pairs that share it are looked at.
 RARE = 64
 
+#: Classes whose table keys one task makes.
+TASK_CLASSES = 1 << 13
+
 #: A reserved name beside the columns of a caller's table.
 _ROW = "__near_row"
 
@@ -236,8 +239,8 @@ def _rare(ids: DataFrame, sets: DataFrame) -> DataFrame:
     return stage(has.join(often, "shingle", "left_anti"), "near-rare")
 
 
-def across(placed: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``labels`` after all links between components of a key; ``placed``: key, id, n.
+def across(placed: DataFrame, labels: DataFrame, sets: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
+    """``labels`` after all links between components of a key; ``placed``: key, place, id, n; ``keys``: id, left, right.
 
     In a key of few ids all pairs of like sizes of different components are
     compared. In larger ones a shingle is rare if few of their ids have it; what is
@@ -249,8 +252,9 @@ def across(placed: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
     pair can have no more in common than the cores, and few reach the percentage
     so. Of all sets of one core the smallest is as near to any other core as
     they get: what is linked to one of the others is linked to it. So those that
-    are linked to the smallest are left to it, and only the different cores of a
-    key are paired. No link between components is lost.
+    are linked to the smallest are left to it; those that are not are linked to
+    none of their core. Only the others of different cores are paired, once, inside
+    a key. No link between components is lost.
     """
     like = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y)
     enough = lambda common, x, y: 100 * common >= percent * (x + y - common)
@@ -260,7 +264,7 @@ def across(placed: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
     still = _open(placed, labels)
     small = _pairs(still.filter(F.col("in_key") <= FEW), sized)
     labels = follow(small)
-    large = still.filter(F.col("in_key") > FEW).select("key", "id", "n")
+    large = still.filter(F.col("in_key") > FEW).select("key", "place", "id", "n")
     if large.isEmpty():
         return labels
 
@@ -277,7 +281,7 @@ def across(placed: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
     still = _open(placed, labels)
     least = stage(still.groupBy("key").agg(F.min("n").alias("least")), "near-least")
     often = F.col("n") - F.col("rare")
-    hopeful = still.join(least, "key").filter(enough(often, F.col("n"), F.greatest("least", often))).select("key", "id", "n", "rare")
+    hopeful = still.join(least, "key").filter(enough(often, F.col("n"), F.greatest("least", often))).select("key", "place", "id", "n", "rare")
     hopeful = stage(hopeful, "near-hopeful")
     ids = hopeful.select("id", "n", "rare").distinct()
     listed = rare.join(ids.select("id"), "id").groupBy("id").agg(F.collect_list("shingle").alias("_rare"))
@@ -290,10 +294,16 @@ def across(placed: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
     found = stage(confirmed(own.filter("id != for").select(F.col("for").alias("a"), F.col("id").alias("b")), sets, percent), "near-links")
     labels = merged(labels, found)
     left = own.join(found.select(F.col("b").alias("id"), F.lit(True).alias("_linked")), "id", "left")
-    speaker = left.select("id", F.when(F.col("_linked"), F.col("for")).otherwise(F.col("id")).alias("for"))
-    spoken = hopeful.select("key", "id").join(speaker, "id").select("key", F.col("for").alias("id")).distinct().join(ids, "id")
-    apart = _open(spoken, labels).withColumn("often", often)
-    return follow(_pairs(apart, sized & enough(F.least("a_often", "b_often"), F.col("a_n"), F.col("b_n"))))
+    speakers = left.filter("_linked IS NULL").select("id").join(cores.select("id", "core_1", "core_2"), "id")
+    short = lambda c: F.transform(c, lambda x: F.pmod(x, F.lit((1 << 31) - 1)).cast("int")).alias(c)
+    speakers = speakers.join(keys.select("id", short("left"), short("right")), "id")
+    apart = _open(hopeful.join(speakers, "id"), labels).withColumn("often", often)
+    other = (F.col("a_core_1") != F.col("b_core_1")) | (F.col("a_core_2") != F.col("b_core_2"))
+    # Two ids may share many table keys; they meet in the first keys of either collection that they share.
+    half = F.size("a_right")
+    none = lambda c, n: F.forall(F.zip_with(F.slice(f"a_{c}", 1, n), F.slice(f"b_{c}", 1, n), lambda x, y: x != y), lambda x: x)
+    once = none("left", F.floor(F.col("a_place") / half).cast("int")) & none("right", F.col("a_place") % half)
+    return follow(_pairs(apart, other & sized & enough(F.least("a_often", "b_often"), F.col("a_n"), F.col("b_n")) & once))
 
 
 def verdicts(docs: DataFrame, words: int = 5, percent: int = 80, half: int = HALF, rows: int = ROWS) -> DataFrame:
@@ -305,8 +315,11 @@ def verdicts(docs: DataFrame, words: int = 5, percent: int = 80, half: int = HAL
         named.groupBy("set_1", "set_2").agg(F.min("at").alias("id"), F.min("doc_id").alias("doc"), F.min("n_shingles").alias("n")),
         "near-classes",
     )
-    members = named.join(classes.select(F.col("id").alias("at")), "at").select(
-        F.col("at").alias("id"), F.explode(table_keys(F.col("left"), F.col("right"))).alias("key")
+    # One row becomes a hundred: more tasks than the rows alone would get.
+    tasks = classes.count() // TASK_CLASSES + 1
+    firsts = named.join(classes.select(F.col("id").alias("at")), "at").repartition(tasks, "at")
+    members = firsts.select(
+        F.col("at").alias("id"), F.posexplode(table_keys(F.col("left"), F.col("right"))).alias("place", "key")
     )
     keys = members.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("_last")).filter("first < _last")
     shared = stage(members.join(stage(keys.select("key", "first"), "near-keys"), "key"), "near-shared")
@@ -319,8 +332,8 @@ def verdicts(docs: DataFrame, words: int = 5, percent: int = 80, half: int = HAL
     sets = stage(_sets(texts, words).dropDuplicates(["id"]), "near-sets")
     alone = stage(sets.select("id", F.col("id").alias("component")), "near-labels")
     labels = merged(alone, stage(confirmed(stars, sets, percent), "near-links"))
-    placed = shared.select("key", "id").join(classes.select("id", "n"), "id")
-    labels = across(placed, labels, sets, percent)
+    placed = shared.select("key", "place", "id").join(classes.select("id", "n"), "id")
+    labels = across(placed, labels, sets, signed.select(F.col("at").alias("id"), "left", "right"), percent)
 
     # A component takes its smallest doc_id, and the class that has it is kept; classes without doc_id come last.
     rank = F.struct(F.col("doc").isNull().alias("none"), "doc", "set_1", "set_2")
