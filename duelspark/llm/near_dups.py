@@ -268,9 +268,12 @@ def across(placed: DataFrame, labels: DataFrame, sets: DataFrame, keys: DataFram
     if large.isEmpty():
         return labels
 
-    rare = _rare(large.select("id").distinct(), sets)
+    ids = stage(large.select("id").distinct(), "near-ids")
+    rare = _rare(ids, sets)
     counts = rare.groupBy("id").agg(F.count("shingle").alias("_rare"))
-    placed = large.join(counts, "id", "left").withColumn("rare", F.coalesce("_rare", F.lit(0))).drop("_rare")
+    counts = stage(ids.join(counts, "id", "left").select("id", F.coalesce("_rare", F.lit(0)).alias("rare")), "near-counts")
+    # Read by every step that follows, so made once.
+    placed = stage(large.join(counts, "id"), "near-large")
     still = _open(placed, labels)
     labels = follow(_stars(still, F.struct("rare", -F.col("n"), "id")))
 
