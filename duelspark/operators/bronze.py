@@ -22,6 +22,12 @@ from duelspark.schemas import GAME
 
 BLOCK = ["source_file", "block"]
 
+#: The kind of the rows of ``events`` that carry a log's state, see ``state_of``.
+STATE = "state"
+
+# Blocks before and behind all others, for the state that comes in and goes out.
+_BEFORE, _BEHIND = -(1 << 62), 1 << 62
+
 
 def classify(lines: DataFrame) -> DataFrame:
     """Adds ``kind`` and drops the text that no later step can need."""
@@ -92,8 +98,17 @@ def _is_header():
     return F.col("kind").isin(L.INLINE, L.HEAD)
 
 
-def block_carry(frame: DataFrame) -> DataFrame:
-    """What each block inherits from the blocks before it (and the kind after it)."""
+def _edge(part: int):
+    return F.struct(F.lit(part).alias("part"), F.lit("").alias("file"), F.lit(0).cast("bigint").alias("start"))
+
+
+def block_carry(frame: DataFrame, before: DataFrame | None = None, ends: bool = False) -> DataFrame:
+    """What each block inherits from the blocks before it (and the kind after it).
+
+    ``before`` (rows of ``state_of``) stands for all lines of a log that were read
+    earlier. With ``ends`` one more block per log, behind all others, inherits what
+    lines that are yet to come need.
+    """
     kind, pos, line = F.col("kind"), F.col("pos"), F.col("line")
     marker = kind.isin(L.START, L.END)
     summary = frame.groupBy(*BLOCK).agg(
@@ -108,13 +123,24 @@ def block_carry(frame: DataFrame) -> DataFrame:
         # which are inside one only if the block before ends inside a game.
         F.max(F.when(_is_header() & (F.col("mark") == L.START), pos)).alias("sure"),
         F.max(F.when(_is_header() & F.col("mark").isNull(), pos)).alias("open"),
+        F.max_by(F.xxhash64(kind, line), pos).alias("tail"),
     )
+    sources = summary.select("source_file").distinct() if before is not None or ends else None
+    if before is not None:
+        known = before.join(sources, "source_file", "left_semi").select(
+            "source_file", _edge(_BEFORE).alias("block"), F.col("games").cast("bigint").alias("n_starts"),
+            F.col("lines").cast("bigint").alias("n_lines"), F.col("mark").alias("end_mark"), F.col("head").alias("tail_head"),
+            F.when(F.col("deck").isNotNull(), F.lit(0).cast("bigint")).alias("last_deck"), "deck", "tail",
+        )
+        summary = summary.unionByName(known, allowMissingColumns=True)
+    if ends:
+        summary = summary.unionByName(sources.select("source_file", _edge(_BEHIND).alias("block")), allowMissingColumns=True)
     order = Window.partitionBy("source_file").orderBy("block")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     none = F.lit(-1).cast("bigint")
     after_deck = lambda p: F.coalesce(F.col(p) > F.coalesce(F.col("last_deck"), none), F.lit(False))
     return (
-        summary.withColumn("mark_in", F.last("end_mark", True).over(before))
+        summary.withColumn("mark_in", F.last("end_mark", True).over(earlier))
         .withColumn(
             "used",
             after_deck("sure") | (F.coalesce(F.col("mark_in") == L.START, F.lit(False)) & after_deck("open")),
@@ -122,13 +148,14 @@ def block_carry(frame: DataFrame) -> DataFrame:
         .select(
             *BLOCK,
             "mark_in",
-            F.coalesce(F.sum("n_starts").over(before), F.lit(0)).alias("games_in"),
-            F.coalesce(F.sum("n_lines").over(before), F.lit(0)).alias("lines_in"),
+            F.coalesce(F.sum("n_starts").over(earlier), F.lit(0)).alias("games_in"),
+            F.coalesce(F.sum("n_lines").over(earlier), F.lit(0)).alias("lines_in"),
             F.lag("tail_head").over(order).alias("head_in"),
             F.lead("first_kind").over(order).alias("kind_out"),
-            F.last(F.when(F.col("last_deck").isNotNull(), F.col("block")), True).over(before).alias("deck_block"),
-            F.last(F.when(F.col("used"), F.col("block")), True).over(before).alias("used_block"),
-            F.last("deck", True).over(before).alias("deck_in"),
+            F.last(F.when(F.col("last_deck").isNotNull(), F.col("block")), True).over(earlier).alias("deck_block"),
+            F.last(F.when(F.col("used"), F.col("block")), True).over(earlier).alias("used_block"),
+            F.last("deck", True).over(earlier).alias("deck_in"),
+            F.last("tail", True).over(earlier).alias("tail_in"),
         )
         .withColumn(
             "deck_in",
@@ -138,9 +165,13 @@ def block_carry(frame: DataFrame) -> DataFrame:
     )
 
 
-def in_game(lines: DataFrame) -> DataFrame:
+def in_game(lines: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Every line inside a game that is a header or may be a payload, with full context."""
     frame = _frame(lines)
+    return _in_game(frame, block_carry(frame, before))
+
+
+def _in_game(frame: DataFrame, carry: DataFrame) -> DataFrame:
     order = Window.partitionBy(*BLOCK).orderBy("pos")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -161,7 +192,7 @@ def in_game(lines: DataFrame) -> DataFrame:
         in_game & F.coalesce(F.col("open") > floor, F.lit(False))
     )
     return (
-        local.join(block_carry(frame), BLOCK, "left")
+        local.join(carry, BLOCK, "left")
         .filter((F.coalesce(mark, F.col("mark_in")) == L.START) & (kind != L.DECK))
         .select(
             "source_file",
@@ -177,16 +208,52 @@ def in_game(lines: DataFrame) -> DataFrame:
     )
 
 
-def events(lines: DataFrame) -> DataFrame:
+def events(lines: DataFrame, before: DataFrame | None = None, ends: bool = False) -> DataFrame:
     """Lines inside games with header fields and payload.
 
     ``raw`` is the payload text of an event and NULL on other lines; ``payload``
     is also NULL where the JSON lacks the branch its event type must have.
+
+    ``before`` (rows of ``state_of``): what was read of these logs earlier; numbers
+    of games and lines go on from there. ``ends`` adds one row per log of kind STATE.
     """
     kind, line = F.col("kind"), F.col("line")
     is_payload = (kind == L.TEXT) & F.col("head").isNotNull()
+    frame = _frame(lines)
+    carry = block_carry(frame, before, ends)
+    found = _found(_in_game(frame, carry), kind, line, is_payload)
+    if not ends:
+        return found
+    state = carry.filter(F.col("block.part") == _BEHIND).select(
+        "source_file", F.col("games_in").cast("int").alias("game_num"), F.col("lines_in").alias("line_ord"),
+        F.lit(STATE).alias("kind"), F.col("mark_in").alias("next_kind"), F.col("head_in").alias("line"),
+        F.col("deck_in").alias("deck"), F.col("tail_in").cast("string").alias("raw"),
+    )
+    return found.unionByName(state, allowMissingColumns=True)
+
+
+def state_of(found: DataFrame) -> DataFrame:
+    """source_file, lines, games, mark, head, deck, tail after the lines of ``events(ends=True)``: one row per log.
+
+    ``mark`` is the last start or end marker, ``head`` a header that is the last
+    line, ``deck`` a deck that no header has taken, ``tail`` a hash of the last line.
+    """
+    return found.filter(F.col("kind") == STATE).select(
+        "source_file", F.col("line_ord").alias("lines"), F.col("game_num").alias("games"), F.col("next_kind").alias("mark"),
+        F.col("line").alias("head"), "deck", F.col("raw").cast("bigint").alias("tail"),
+    )
+
+
+def latest_state(states: DataFrame) -> DataFrame:
+    """The newest row of every log."""
+    rest = [c for c in states.columns if c not in ("source_file", "lines")]
+    newest = states.groupBy("source_file").agg(F.max_by(F.struct("lines", *rest), "lines").alias("s"))
+    return newest.select("source_file", "s.*")
+
+
+def _found(inside: DataFrame, kind, line, is_payload) -> DataFrame:
     return (
-        in_game(lines)
+        inside
         .filter(is_payload | kind.isin(L.INLINE, L.HEAD, L.BAD, L.START))
         .select(
             *GAME,
@@ -218,7 +285,8 @@ def bronze_of(found: DataFrame) -> DataFrame:
     )
     event = F.when(F.col("payload").isNotNull(), row(1, F.col("h.event"), F.col("payload")))
     return (
-        found.withColumn("row", F.explode(F.array_compact(F.array(deck, event))))
+        found.filter(F.col("kind") != STATE)
+        .withColumn("row", F.explode(F.array_compact(F.array(deck, event))))
         .select(
             *GAME,
             (F.col("line_ord") * 2 + F.col("row.sub")).alias("row_ord"),
@@ -240,7 +308,8 @@ def quarantine_of(found: DataFrame) -> DataFrame:
     kind = F.col("kind")
     followed = F.coalesce(F.col("next_kind") == L.TEXT, F.lit(False))
     return (
-        found.withColumn(
+        found.filter(kind != STATE)
+        .withColumn(
             "reason",
             F.when(kind == L.BAD, "header")
             .when((kind == L.HEAD) & ~followed, "no_payload")

@@ -70,6 +70,56 @@ _SUMS = [
 ]
 
 
+_OF_MATCHES = ["matches", "wins", "losses", "duration", "timed"]
+_OF_HANDS = ["mulligans", "handed", *[f"matches_m{n}" for n in MULLIGANS], *[f"wins_m{n}" for n in MULLIGANS]]
+
+
+def day_of(time: Column) -> Column:
+    """The day of an instant by UTC, whatever the session's zone."""
+    return F.floor(F.unix_seconds(time) / 86_400).cast("bigint")
+
+
+def day_sums(matches: DataFrame, hands: DataFrame, hand_matches: DataFrame) -> DataFrame:
+    """Additive measures per (player_id, deck_id, day) of some matches, and of some hands whose matches are in ``hand_matches``.
+
+    All hands of a match must be among ``hands`` together.
+    """
+    count_if = lambda test: F.sum(F.when(test, 1).otherwise(0)).cast("bigint")
+    keys = ["player_id", "deck_id", day_of(F.col("start_time")).alias("day")]
+    played = matches.groupBy(*keys).agg(
+        F.count("*").alias("matches"), count_if(won()).alias("wins"), count_if(lost()).alias("losses"),
+        F.sum("duration_sec").alias("duration"), F.count("duration_sec").alias("timed"), F.max("start_time").alias("last_start"),
+    )
+    handed = hand_matches.join(match_mulligans(hands), "match_id").groupBy(*keys).agg(
+        F.sum("mulligans").cast("bigint").alias("mulligans"),
+        F.count("mulligans").alias("handed"),
+        *[count_if(F.col("mulligans") == n).alias(f"matches_m{n}") for n in MULLIGANS],
+        *[count_if((F.col("mulligans") == n) & won()).alias(f"wins_m{n}") for n in MULLIGANS],
+    )
+    return played.unionByName(handed, allowMissingColumns=True)
+
+
+def stats_of_days(days: DataFrame, matches: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """As ``player_deck_stats``, from ``day_sums``.
+
+    The last 30 days are whole days but for the first one, of which the matches
+    themselves are read: ``matches`` is filtered to that one day.
+    """
+    until = days.select(F.max("last_start")).scalar() if as_of is None else as_of
+    since = until - F.expr("interval 30 days")
+    edge = matches.filter((day_of(F.col("start_time")) == day_of(since)) & (F.col("start_time") > since))
+    edge = edge.groupBy("player_id", "deck_id").agg(
+        F.count("*").alias("matches_30d"), F.sum(F.when(won(), 1).otherwise(0)).cast("bigint").alias("wins_30d")
+    )
+    whole = F.col("day") > day_of(since)
+    rows = days.withColumns({f"{c}_30d": F.when(whole, F.col(c)) for c in ("matches", "wins")}).drop("run", "day")
+    zero = F.lit(0).cast("bigint")
+    none_timed = lambda c: F.sum(c) if c in ("duration", "mulligans") else F.coalesce(F.sum(c), zero)
+    return rows.unionByName(edge, allowMissingColumns=True).groupBy("player_id", "deck_id").agg(
+        *[none_timed(c).alias(c) for c in _SUMS], F.max("last_start").alias("last_start")
+    )
+
+
 def _mulligan_rates() -> list[Column]:
     return [
         ratio(F.col("mulligans"), F.col("handed")).alias("avg_mulligans"),

@@ -10,6 +10,12 @@ from duelspark.functions.payloads import SUMMARIZED as SUMMARY
 
 TIME = "strftime(ts, '%-m/%-d/%Y %-I:%M:%S %p')"
 
+
+def _ratio(over: str, under: str) -> str:
+    """A quotient of whole numbers at nine places, halves up, worked out in whole numbers; NULL over 0."""
+    return f"(((2000000000::HUGEINT * ({over}) + ({under})) // (2 * nullif({under}, 0)))::DOUBLE / 1000000000)"
+
+
 # Events by their part in the log; running state; headers; bronze rows.
 LOG = f"""
 WITH ev AS (
@@ -152,7 +158,7 @@ HAND = """SELECT user_id, game_num, msg_pos, player_id, array_to_string(hand, ',
 
 # --- silver and gold stand-ins --------------------------------------------------------
 
-GOLD = """
+GOLD = f"""
 WITH m AS (
   SELECT o_orderkey AS match_id, o_custkey * 3 + o_orderkey % 3 AS deck_id, cast(o_custkey AS varchar) AS player_id,
     o_orderstatus = 'F' AS won, o_orderstatus = 'O' AS lost, cast(o_orderdate AS timestamp) AS start_time,
@@ -174,7 +180,7 @@ WITH m AS (
   FROM dc LEFT JOIN part ON p_partkey = arena_id
 ), mk AS (
   SELECT deck_id, coalesce(string_agg(DISTINCT colors, '' ORDER BY colors), '') AS colors,
-    round(cast(sum(cmc * copies) AS double) / sum(CASE WHEN cmc IS NOT NULL THEN copies END), 6) AS cmc_avg
+    {_ratio('sum(cmc * copies)', 'sum(CASE WHEN cmc IS NOT NULL THEN copies END)')} AS cmc_avg
   FROM df GROUP BY deck_id
 ), cu AS (
   SELECT deck_id, string_agg(cast(n AS varchar), ',' ORDER BY c) AS cmc_curve FROM (
@@ -184,13 +190,13 @@ WITH m AS (
   GROUP BY deck_id
 ), ch AS (
   SELECT deck_id, arena_id, copies AS total_in_deck,
-    round(copies / cast(sum(copies) OVER (PARTITION BY deck_id) AS double), 6) AS draw_chance
+    {_ratio('copies', 'sum(copies) OVER (PARTITION BY deck_id)')} AS draw_chance
   FROM dc
 ), oh AS (
   SELECT l_orderkey AS match_id, max_by(l_partkey, l_linenumber * 1000000000000 + l_partkey) AS card FROM lineitem GROUP BY 1
 ), oc AS (
   SELECT player_id, deck_id, card + j AS arena_id,
-    round(cast(count(*) FILTER (WHERE won) AS double) / count(*), 6) AS win_rate_opener
+    {_ratio('count(*) FILTER (WHERE won)', 'count(*)')} AS win_rate_opener
   FROM oh JOIN m USING (match_id), (SELECT unnest([0, 1, 2]) AS j) GROUP BY ALL
 ), mp AS (
   SELECT player_id, deck_id AS most_played_deck_id, 'Deck ' || deck_id AS most_played_deck_name,
@@ -200,14 +206,11 @@ WITH m AS (
 
 
 def _rate(test: str, base: str = "true") -> str:
-    return (
-        f"round(cast(count(*) FILTER (WHERE ({test}) AND ({base})) AS double) / "
-        f"nullif(count(*) FILTER (WHERE {base}), 0), 6)"
-    )
+    return _ratio(f"count(*) FILTER (WHERE ({test}) AND ({base}))", f"count(*) FILTER (WHERE {base})")
 
 
 MULLIGANS = ", ".join(
-    ["round(avg(mulligans), 6) AS avg_mulligans"]
+    [f"{_ratio('sum(mulligans)', 'count(mulligans)')} AS avg_mulligans"]
     + [f"{_rate('won', f'mulligans = {n}')} AS mulligan{n}_win_rate" for n in (0, 1, 2)]
 )
 
@@ -254,6 +257,8 @@ ORACLE = {
     "bronze_roundtrip": LOG + FACTS,
     "landing_csv": LOG + FACTS,
     "stream_ingest": LOG + FACTS,
+    "grown_logs": LOG + FACTS,
+    "stream_parts": LOG + FACTS,
     "new_files": """
         SELECT DISTINCT user_id FROM events
         WHERE user_id NOT IN (SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-01 06:00:00')""",
@@ -261,6 +266,15 @@ ORACLE = {
         SELECT user_id, games, coalesce(n, 0) AS "rows", CASE WHEN n > 0 THEN 'parsed' ELSE 'no_games' END AS status
         FROM (SELECT user_id, count(*) FILTER (WHERE what = 'start') AS games FROM cl GROUP BY user_id)
         LEFT JOIN (SELECT user_id, count(*) AS n FROM br WHERE sub = 1 GROUP BY user_id) USING (user_id)""",
+    "grown_manifest": LOG + """
+        SELECT user_id, games, coalesce(n, 0) AS "rows", CASE WHEN n > 0 THEN 'parsed' ELSE 'no_games' END AS status,
+          coalesce(bad, 0) AS bad
+        FROM (SELECT user_id, count(*) FILTER (WHERE what = 'start') AS games FROM cl GROUP BY user_id)
+        LEFT JOIN (SELECT user_id, count(*) FILTER (WHERE sub = 1) AS n FROM br GROUP BY user_id) USING (user_id)
+        LEFT JOIN (SELECT user_id, count(*) AS bad FROM (
+            SELECT user_id FROM st WHERE mark = 'start' AND what = 'bad'
+            UNION ALL SELECT user_id FROM hd WHERE what = 'lone' AND next_what IS DISTINCT FROM 'noise'
+            UNION ALL SELECT user_id FROM hd WHERE what = 'record' AND r = 9 AND event_id % 5 = 0) GROUP BY user_id) USING (user_id)""",
     "incremental_batch": LOG + """
         SELECT user_id, games, coalesce(n, 0) AS "rows", CASE WHEN n > 0 THEN 'parsed' ELSE 'no_games' END AS status,
           coalesce(stored, 0) AS stored
@@ -365,7 +379,7 @@ ORACLE = {
     "player_metrics": GOLD + f"""
         SELECT player_id, any_value(c_name) AS display_name, count(*) AS total_matches,
           count(*) FILTER (WHERE won) AS total_wins, count(*) FILTER (WHERE lost) AS total_losses,
-          {_rate('won')} AS win_rate, {RECENT}, round(avg(duration_sec), 6) AS avg_duration_sec, {MULLIGANS},
+          {_rate('won')} AS win_rate, {RECENT}, {_ratio('sum(duration_sec)', 'count(duration_sec)')} AS avg_duration_sec, {MULLIGANS},
           any_value(most_played_deck_id) AS most_played_deck_id, any_value(most_played_deck_name) AS most_played_deck_name,
           strftime(max(start_time), '%Y-%m-%d %H:%M:%S') AS time_last_played
         FROM f JOIN mp USING (player_id) LEFT JOIN customer ON cast(c_custkey AS varchar) = player_id
@@ -374,7 +388,7 @@ ORACLE = {
     "mulligan_metrics": GOLD + f"SELECT player_id, {MULLIGANS} FROM f GROUP BY player_id",
     "most_played_deck": GOLD + "SELECT player_id, most_played_deck_id, most_played_deck_name FROM mp WHERE n = 1",
     "deck_metrics": GOLD + f""", ds AS (
-          SELECT deck_id, round(avg(duration_sec), 6) AS avg_duration_sec, count(*) AS total_matches,
+          SELECT deck_id, {_ratio('sum(duration_sec)', 'count(duration_sec)')} AS avg_duration_sec, count(*) AS total_matches,
             count(*) FILTER (WHERE won) AS total_wins, {_rate('won')} AS win_rate, {MULLIGANS}
           FROM f GROUP BY deck_id)
         SELECT ds.*, deck_name, player_id, c_name AS display_name, colors, cmc_curve, cmc_avg
@@ -400,3 +414,6 @@ ORACLE = {
         SELECT o_orderkey AS match_id, cast(o_custkey AS varchar) AS player_id FROM orders
         WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
 }
+
+# The same metrics, worked out whole.
+ORACLE["gold_deltas"] = ORACLE["player_metrics"]

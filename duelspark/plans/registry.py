@@ -1,7 +1,7 @@
 """Every operator as a query over the driver's tables.
 
 Results that the oracle compares hold plain values only: arrays are joined to
-text, rates are rounded doubles.
+text, rates are doubles of nine places.
 """
 
 from __future__ import annotations
@@ -24,8 +24,9 @@ from duelspark.operators import messages as M
 from duelspark.operators import quality as Q
 from duelspark.operators.keys import assign_ids
 from duelspark.plans import bronze as batch
-from duelspark.plans import silver
+from duelspark.plans import gold, silver
 from duelspark.plans import standins as S
+from duelspark.schemas import DAYS, SILVER
 from duelspark.session import stage, work_path
 from duelspark.sources import bronze_files, card_bulk, logs
 from duelspark.sources.store import Store, laid_out
@@ -45,7 +46,8 @@ def joined(array: str | Column) -> Column:
 
 
 def rounded(name: str) -> Column:
-    return F.round(F.col(name).cast("double"), 6).alias(name)
+    """A rate at its nine places."""
+    return F.col(name).cast("decimal(38,9)").cast("double").alias(name)
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,6 +145,69 @@ def incremental_batch(spark, folder):
     )
 
 
+def _in_two(spark: SparkSession, folder: str, path: str):
+    """The logs of all users in two portions of parts, cut in the middle: between the two lines of a record where that is one.
+
+    Gives a function that writes a portion below ``path``.
+    """
+    lines = _lines(spark, folder).withColumnRenamed("source_file", "log")
+    event = F.floor(F.col("pos") / 2)
+    middle = lines.groupBy("log").agg(((F.min(event) + F.max(event)) / 2).alias("middle"))
+    cuts = lines.join(middle, "log").filter(event <= F.col("middle")).groupBy("log").agg((F.max(event) * 2).alias("cut"))
+    parts, most = 4, lines.agg(F.max("pos")).first()[0] or 0
+    cut = stage(lines.join(cuts, "log").withColumn("second", F.col("pos") > F.col("cut")), "cut-logs")
+
+    def write(second: bool) -> None:
+        # Part numbers follow the order of the lines, and those of the second portion the first.
+        part = F.least(F.lit(parts - 1), F.floor(F.col("pos") * parts / F.lit(most + 1))).cast("int") + (parts if second else 0)
+        some = cut.filter(F.col("second") == second).repartitionById(2 * parts, part).sortWithinPartitions("log", "pos")
+        some.select("log", F.col("line").alias("value")).write.mode("append").partitionBy("log").text(path)
+
+    return write
+
+
+@query
+def grown_logs(spark, folder):
+    """All logs parsed in two runs, as they had grown in between; a run without news adds nothing."""
+    path = work_path(spark, "logs")
+    write = _in_two(spark, folder, path)
+    target = batch.store(spark, "db_" + work_path(spark, "x")[-12:])
+    target.create(work_path(spark, "bronze"))
+    for second in (False, True):
+        write(second)
+        batch.run(target, path, "*.txt", rolled=True)
+    batch.run(target, path, "*.txt", rolled=True)
+    return bronze_facts(target.read("bronze"))
+
+
+@query
+def grown_manifest(spark, folder):
+    """Games, rows and quarantined lines of logs that have grown, over both runs."""
+    path = work_path(spark, "logs")
+    write = _in_two(spark, folder, path)
+    target = batch.store(spark, "db_" + work_path(spark, "x")[-12:])
+    target.create(work_path(spark, "bronze"))
+    for second in (False, True):
+        write(second)
+        batch.run(target, path, "*.txt", rolled=True)
+    bad = batch.quarantine(target).groupBy("source_file").agg(F.count("*").alias("bad"))
+    return batch.manifest(target).join(bad, "source_file", "left").select(
+        _user(), "games", "rows", "status", F.coalesce("bad", F.lit(0)).cast("bigint").alias("bad")
+    )
+
+
+@query
+def stream_parts(spark, folder):
+    """Logs whose parts come one after the other in batches of a stream, with state between them."""
+    path, out, checkpoint = (work_path(spark, name) for name in ("logs", "stream-bronze", "stream-state"))
+    write = _in_two(spark, folder, path)
+    for second in (False, True):
+        write(second)
+        raw = ingest.stream_logs(spark, path, "*.txt")
+        ingest.start(raw, checkpoint, ingest.bronze_to(out, f"{checkpoint}-logs"), rolled=True).awaitTermination()
+    return bronze_facts(bronze_files.read_bronze(spark, out))
+
+
 @query
 def new_files(spark, folder):
     """Logs of users who came later, as those of the first six hours are in the manifest already."""
@@ -519,7 +584,11 @@ _MULLIGANS = ["avg_mulligans", "mulligan0_win_rate", "mulligan1_win_rate", "mull
 @query
 def player_metrics(spark, folder):
     g = _Gold(spark, folder)
-    return g.players_rows(g.stats).select(
+    return _player_rows(g.players_rows(g.stats))
+
+
+def _player_rows(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "player_id", "display_name", "total_matches", "total_wins", "total_losses", rounded("win_rate"),
         rounded("win_rate_30d"), rounded("avg_duration_sec"), *[rounded(c) for c in _MULLIGANS],
         "most_played_deck_id", "most_played_deck_name",
@@ -527,6 +596,27 @@ def player_metrics(spark, folder):
     )
 
 
+@query
+def gold_deltas(spark, folder):
+    """Player metrics from sums per day that three batches of matches and hands, and a run without news, have added to."""
+    g = _Gold(spark, folder)
+    target = Store(spark, "db_" + work_path(spark, "x")[-12:], {t: s for t, s in {**SILVER, **DAYS}.items() if t in ("matches", "turn1_hands", *DAYS)})
+    target.create(work_path(spark, "gold-deltas"))
+    none = lambda kind: F.lit(None).cast(kind)
+    hands = g.hands.join(g.matches.select("match_id", "player_id"), "match_id").withColumns({
+        "hand_id": F.col("match_id") * 100 + F.floor(F.col("hand_id") / 1_000_000_000_000),
+        "discarded": none("array<bigint>"), "went_first": none("boolean"),
+    })
+    upto = (g.matches.agg(F.max("match_id")).first()[0] or 0) + 1
+    for n in range(3):
+        part = (F.col("match_id") >= n * upto // 3) & (F.col("match_id") < (n + 1) * upto // 3)
+        target.append("matches", g.matches.filter(part))
+        target.append("turn1_hands", hands.filter(part))
+        gold.update_days(target)
+    gold.update_days(target)
+    return _player_rows(g.players_rows(X.stats_of_days(gold.kept_days(target), target.read("matches"))))
+
+
 @query
 def win_rate_30d(spark, folder):
     g = _Gold(spark, folder)

@@ -79,6 +79,11 @@ BATCH = {
     "manifest": TableSpec(
         "source_file STRING, games BIGINT, `rows` BIGINT, status STRING", ("source_file",), ("source_file", "status")
     ),
+    # What the next lines of a log need to know of those before; one row per log and run.
+    "state": TableSpec(
+        "source_file STRING, length BIGINT, lines BIGINT, games INT, mark STRING, head STRING, deck STRING, tail BIGINT",
+        ("source_file", "lines"), ("source_file", "length", "lines"),
+    ),
 }
 
 RATE = "DECIMAL(38, 9)"
@@ -148,3 +153,18 @@ GOLD = {
         ("player_id", "deck_id"),
     ),
 }
+
+_COUNTS = ["matches", "wins", "losses", "duration", "timed", "mulligans", "handed"] + [
+    f"{what}_m{n}" for what in ("matches", "wins") for n in (0, 1, 2)
+]
+
+#: Sums per player, deck and day that are kept up to date, and how far they go.
+DAYS = {
+    "player_deck_days": TableSpec(
+        "run STRING, player_id STRING, deck_id BIGINT, day BIGINT, " + ", ".join(f"{c} BIGINT" for c in _COUNTS) + ", last_start TIMESTAMP",
+        ("run", "player_id", "deck_id", "day"),
+        ("run", "player_id", "deck_id"),
+        ("player_id", "deck_id"),
+    ),
+    "gold_runs": TableSpec("run STRING, upto_match BIGINT, upto_hand BIGINT", ("run",), ("run", "upto_match", "upto_hand")),
+}
