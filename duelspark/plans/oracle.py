@@ -364,6 +364,7 @@ ORACLE = {
         WHERE following IS NULL OR len(list_filter(list_distinct(following), lambda x:
           len(list_filter(following, lambda y: y = x)) > len(list_filter(hand, lambda y: y = x)))) > 0""",
     "dim_cards": CARD_SOURCE + f"SELECT {CARD_COLUMNS} FROM c WHERE arena_id <> 0",
+    "card_array": CARD_SOURCE + f"SELECT {CARD_COLUMNS} FROM c WHERE arena_id <> 0",
     "dim_cards_dedup": CARD_SOURCE + f"""
         SELECT {CARD_COLUMNS} FROM (
           SELECT *, row_number() OVER (PARTITION BY arena_id ORDER BY p_partkey) AS n FROM c WHERE arena_id <> 0)

@@ -521,6 +521,17 @@ def dim_cards(spark, folder):
     return dims.dim_cards(_bulk(spark, folder)).select(*_CARD_COLUMNS)
 
 
+@query
+def card_array(spark, folder):
+    """Parts written as JSON arrays of up to a thousand cards and read by splits."""
+    path = work_path(spark, "card-arrays")
+    cards = S.bulk_cards(S.table(spark, folder, "part"))
+    objects = cards.select(F.floor(F.col("ord") / 1000).alias("part"), F.to_json(F.struct(*[c for c in cards.columns if c != "ord"])).alias("text"))
+    arrays = objects.groupBy("part").agg(F.array_join(F.collect_list("text"), ",\n").alias("value"))
+    arrays.select("part", F.concat(F.lit("["), "value", F.lit("]")).alias("value")).write.partitionBy("part").text(path)
+    return dims.dim_cards(card_bulk.read_array(spark, path)).select(*_CARD_COLUMNS)
+
+
 @query
 def dim_cards_dedup(spark, folder):
     cards = S.bulk_cards(S.table(spark, folder, "part"))
