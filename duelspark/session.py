@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,8 @@ def build_session(app: str = "duelspark", master: str | None = None, **extra: st
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir`` of the session.
 
-    Where that is unset, the warehouse, which a cluster shares as well.
+    Where that is unset, the warehouse, which a cluster shares as well; a local
+    folder is refused there, as each machine would write to its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
@@ -41,6 +43,8 @@ def shared_root(spark: SparkSession) -> str:
         root = spark.sparkContext.getCheckpointDir()
     if root is None:
         root = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and re.match(r"file:|/", root):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
     return root.rstrip("/")
 
 
