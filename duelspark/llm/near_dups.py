@@ -232,11 +232,17 @@ def _pairs(rows: DataFrame, condition: Column, on: str = "key") -> DataFrame:
     return met.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
 
 
-def _rare(ids: DataFrame, sets: DataFrame) -> DataFrame:
-    """id, shingle of the rare shingles of ``ids``: those that at most RARE of them have."""
+def _rare(ids: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rare shingles of ``ids`` (those that at most RARE of them have) as two tables of id, shingle: of one id alone, and of several.
+
+    A shingle of one id alone links nothing and its id stands in the count's row,
+    so only those of several ids are joined back.
+    """
     has = sets.join(ids, "id").select("id", F.explode("set").alias("shingle"))
-    often = stage(has.groupBy("shingle").agg(F.count("id").alias("_ids")).filter(F.col("_ids") > RARE), "near-often")
-    return stage(has.join(often, "shingle", "left_anti"), "near-rare")
+    few = has.groupBy("shingle").agg(F.count("id").alias("_ids"), F.min("id").alias("id")).filter(F.col("_ids") <= RARE)
+    few = stage(few, "near-few")
+    several = has.join(few.filter("_ids > 1").select("shingle"), "shingle").select("id", "shingle")
+    return few.filter("_ids = 1").select("id", "shingle"), stage(several, "near-rare")
 
 
 def across(placed: DataFrame, labels: DataFrame, sets: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
@@ -269,7 +275,8 @@ def across(placed: DataFrame, labels: DataFrame, sets: DataFrame, keys: DataFram
         return labels
 
     ids = stage(large.select("id").distinct(), "near-ids")
-    rare = _rare(ids, sets)
+    single, several = _rare(ids, sets)
+    rare = single.union(several)
     counts = rare.groupBy("id").agg(F.count("shingle").alias("_rare"))
     counts = stage(ids.join(counts, "id", "left").select("id", F.coalesce("_rare", F.lit(0)).alias("rare")), "near-counts")
     # Read by every step that follows, so made once.
@@ -278,7 +285,7 @@ def across(placed: DataFrame, labels: DataFrame, sets: DataFrame, keys: DataFram
     labels = follow(_stars(still, F.struct("rare", -F.col("n"), "id")))
 
     still = _open(placed, labels)
-    of_rare = _open(rare.join(still.select("id", "n").distinct(), "id"), labels, "shingle")
+    of_rare = _open(several.join(still.select("id", "n").distinct(), "id"), labels, "shingle")
     labels = follow(_pairs(of_rare, sized, "shingle"))
 
     still = _open(placed, labels)
