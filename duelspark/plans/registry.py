@@ -439,7 +439,7 @@ def surrogate_keys(spark, folder):
 
 
 def _opening(spark, folder) -> DataFrame:
-    return stage(H.opening(stage(H.candidates(_messages(spark, folder)), "candidates")), "opening")
+    return H.opening(stage(H.candidates(_messages(spark, folder)), "candidates"))
 
 
 def _message_time(columns: list) -> list:
@@ -448,8 +448,7 @@ def _message_time(columns: list) -> list:
 
 @query
 def hand_messages(spark, folder):
-    opening = H.opening(stage(H.candidates(_messages(spark, folder)), "candidates"))
-    return opening.select(
+    return _opening(spark, folder).select(
         *_message_time(["msg_pos", "unfinished"]),
         joined(P.first_where(F.col("zones"), lambda z: z["type"] == H.HAND_ZONE)["objectInstanceIds"]).alias("ids"),
     )

@@ -38,13 +38,12 @@ DECK_KEYS = {"content": D.CONTENT, "content_and_name": D.NAMED}
 def shape(
     bronze: DataFrame, zone: str | None = T.LOG_ZONE, collapse: bool = False, dedup_by: str = "content"
 ) -> Silver:
-    """All silver relations. Game facts and opening hands are written once each,
-    since several tables read them and both are small next to the events.
+    """All silver relations. Game facts and the messages that may show a hand are written
+    once each, since several tables read them and both are small next to the events.
     ``bronze`` is read twice and should be stored. ``dedup_by``: see DECK_KEYS."""
     keys = DECK_KEYS[dedup_by]
     games = stage(G.describe(M.first_last(bronze), zone), "games")
-    candidates = stage(H.candidates(M.explode_messages(bronze)), "hand-candidates")
-    opening = stage(H.opening(candidates), "opening")
+    opening = H.opening(stage(H.candidates(M.explode_messages(bronze)), "hand-candidates"))
     return Silver(
         games=games,
         players=G.players(games),
