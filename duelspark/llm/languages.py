@@ -35,7 +35,7 @@ _LATIN = NAMES.index("latin")
 BUCKETS = 1 << 15
 
 #: Words of one batch or worker whose scores are kept.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 
 #: Longer stretches of letters are cut.
 WORD_LETTERS = 32

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duelspark.llm.arrow import KEY_BYTES, map_batches, utf8
+from duelspark.llm.arrow import KEY_BYTES, kept_in_worker, map_batches, utf8
 from duelspark.session import stage
 
 HALF, ROWS = 10, 2
@@ -38,7 +38,7 @@ TASK_CLASSES = 1 << 13
 _ROW = "__near_row"
 
 #: Distinct words whose hashes a task keeps.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 
 
 def _odd(n: int, seed: int) -> np.ndarray:
@@ -57,6 +57,11 @@ class Shingler:
         self.words, self.hashes = words, {}
         self.factors = _odd(words, 7)
 
+    @classmethod
+    def of(cls, words: int) -> Shingler:
+        """One per worker process; what an operator before it kept there is freed."""
+        return kept_in_worker((cls.__name__, words), lambda: cls(words))
+
     def sets(self, texts: list[bytes]) -> list[np.ndarray]:
         """Sorted distinct hashes per text; fewer words than a shingle has are one shingle, none are an empty set."""
         if len(self.hashes) > KEPT_WORDS:
@@ -95,7 +100,7 @@ def signatures(docs: DataFrame, words: int, half: int = HALF, rows: int = ROWS)
 
     def each(batch):
         if not ready:
-            ready.append(Shingler(words))
+            ready.append(Shingler.of(words))
         sets = ready[0].sets(utf8(batch.column("text")))
         sizes = np.array([len(s) for s in sets])
         full = np.flatnonzero(sizes)
@@ -138,7 +143,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
     def each(batch):
         if not ready:
-            ready.append(Shingler(words))
+            ready.append(Shingler.of(words))
         sets = ready[0].sets(utf8(batch.column("text")))
         return {"id": batch.column("id"), "set": [s.view(np.int64) for s in sets]}
 

@@ -294,6 +294,32 @@ def test_language_query_against_a_plain_version(spark):
         assert (found.held_out, found.lang_pred) == (held[r.doc_id], lang) and found.score == pytest.approx(score, abs=1e-6)
 
 
+def test_memos_count_the_memory_of_short_strings():
+    import sys
+
+    from duelspark.llm import arrow
+
+    memo = arrow.Memo(lambda key: key[:4], 10**9, 1 << 20)
+    got = [memo[str(n % 50_000).encode()] for n in range(200_000)]
+    assert got == [str(n % 50_000).encode()[:4] for n in range(200_000)]
+    held = sum(sys.getsizeof(d) + sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in d.items()) for d in (memo, memo.old))
+    assert held < 1.5 * (1 << 20)
+    # Entries that come again and again are never forgotten.
+    made = []
+    memo = arrow.Memo(lambda key: made.append(key) or key, 100)
+    for n in range(1000):
+        memo["often"], memo[str(n)]
+    assert made.count("often") == 1 and len(memo) + len(memo.old) <= 100
+
+
+def test_shingles_free_what_an_operator_before_kept():
+    from duelspark.llm import arrow
+
+    pieces.Transducer.of(PIECE_BPE)
+    shingler = near_dups.Shingler.of(5)
+    assert list(arrow._STATE.values()) == [shingler] and near_dups.Shingler.of(5) is shingler
+
+
 def test_memos_of_texts_without_blanks_are_bounded():
     from duelspark.llm import arrow
 
