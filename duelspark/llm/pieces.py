@@ -18,13 +18,14 @@ condition, and scores alone decide.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelspark.llm.arrow import Memo, kept_in_worker, map_batches, utf8
+from duelspark.llm.arrow import MEMO_BYTES, Memo, kept_in_worker, map_batches, utf8
 
 #: Fixed values of the model format: the blank sign, piece types and model types.
 BLANK = "▁"
@@ -77,6 +78,15 @@ class Transducer:
         #: Characters side by side in some piece; no merge or piece crosses another border.
         self.inside = {piece[i : i + 2] for piece in self.ids for i in range(len(piece) - 1)}
         self.trie = trie(self.ids)
+        self.longest = max(map(len, self.ids))
+        self.singles = {piece for piece in self.ids if len(piece) == 1}
+        #: Words: from a blank, or a sign behind a letter or digit that no piece spans, up to the next such place.
+        letter, sign = b"A-Za-z0-9", re.escape(self._signs()).encode()
+        fill = {b"L": letter, b"S": sign}
+        word = rb"[ <S>][^ <L>]*+(?:[<L>]++(?:[^ <L><S>][^ <L>]*+)?+)*+"
+        self.split = re.compile(re.sub(b"<([LS])>", lambda m: fill[m[1]], word)).findall
+        #: Ids of pieces as they are stored.
+        self.codes = {piece: n.to_bytes(4, "little") for piece, n in self.ids.items()}
         self.text = [
             bytes([int(p.piece[3:-1], 16)]) if p.type == BYTE
             else b"" if p.type == CONTROL
@@ -84,16 +94,23 @@ class Transducer:
             else p.piece.replace(BLANK, " ").encode()
             for p in model.pieces
         ]
-        self.words = Memo(self._word, KEPT)
-        self.parts = Memo(self._part, KEPT)
-        self.edges = Memo(self._edges, KEPT)
-        self.pairs = Memo(self._met, KEPT)
+        # Most memory goes to the words, of which few are cut any further.
+        self.words = Memo(self._word, KEPT, 2 * MEMO_BYTES)
+        self.parts = Memo(self._part, KEPT, MEMO_BYTES // 2)
+        self.edges = Memo(self._edges, KEPT, MEMO_BYTES // 4)
+        self.pairs = Memo(self._met, KEPT, MEMO_BYTES * 3 // 2)
 
     @classmethod
     def of(cls, path: str) -> Transducer:
         """One per worker process, which Spark uses for many tasks."""
         return kept_in_worker((cls.__name__, path), lambda: cls(path))
 
+    def _signs(self) -> str:
+        """ASCII signs that stand behind an ASCII letter or digit in no piece."""
+        ascii_ = [chr(c) for c in range(0x80)]
+        bound = {y for x in ascii_ if x.isalnum() for y in ascii_ if x + y in self.inside}
+        return "".join(c for c in ascii_ if not c.isalnum() and c != " " and c not in bound)
+
     def merged(self, text: str, done: list[tuple[float, int]] | None = None) -> list[str]:
         """What the merges make of ``text``: best score first, then from the left. ``done`` gets score and place of each."""
         parts, scores = list(text), self.scores
@@ -185,14 +202,50 @@ class Transducer:
             at -= len(lasts[at])
         return out[::-1]
 
+    def longest_path(self, text: str) -> list[str] | None:
+        """``path`` of a merge model through text whose characters all are pieces; None if there is none.
+
+        Of the pieces that may follow the longest is taken, and a shorter one where
+        no way leads on from its end. What is found is what ``path`` finds, as only
+        one sequence has neighbours that all may stand together; far fewer pairs
+        are looked at.
+        """
+        size, trie, pairs = len(text), self.trie, self.pairs
+        out, open_, dead = [], [], set()
+        at, last = 0, ""
+        while at < size:
+            node, fit = trie, []
+            for char in text[at : at + self.longest]:
+                node = node[0].get(char)
+                if node is None:
+                    break
+                if node[1] is not None:
+                    fit.append(node[1])
+            piece = fit.pop()  # its first character is one, at least
+            while not pairs[last, piece] or dead and at + len(piece) in dead:
+                while not fit:
+                    if not out:
+                        return None
+                    dead.add(at)
+                    at, fit = at - len(out.pop()), open_.pop()
+                    last = out[-1] if out else ""
+                piece = fit.pop()
+            out.append(piece)
+            open_.append(fit)
+            at, last = at + len(piece), piece
+        return out
+
     def _part(self, text: str) -> bytes:
-        ids = []
-        for piece in self.path(text):
-            if piece in self.ids:
-                ids.append(self.ids[piece])
-            else:
-                ids += [self.bytes[b] for b in piece.encode("utf-8", "replace")]
-        return np.array(ids, "<u4").tobytes()
+        found = None
+        if self.merges and self.singles.issuperset(text):
+            found = self.longest_path(text)
+        if found is None:
+            found = self.path(text)
+        codes = self.codes
+        return b"".join([codes[p] if p in codes else self._spelled(p) for p in found])
+
+    def _spelled(self, char: str) -> bytes:
+        return b"".join([self.bytes[b].to_bytes(4, "little") for b in char.encode("utf-8", "replace")])
 
     def _cut(self, text: str) -> bytes:
         """Ids of normalised text, part by part between the borders that nothing crosses."""
@@ -201,12 +254,13 @@ class Transducer:
             if text[i - 1 : i + 1] not in self.inside:
                 out.append(self.parts[text[start:i]])
                 start = i
-        if text:
-            out.append(self.parts[text[start:]])
+        if not start:  # kept as a word, or not at all
+            return self._part(text)
+        out.append(self.parts[text[start:]])
         return b"".join(out)
 
     def _word(self, word: bytes) -> bytes:
-        return self._cut(BLANK + word.decode("utf-8", "replace"))
+        return self._cut(word.decode("utf-8", "replace").replace(" ", BLANK))
 
     def encode(self, text: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -215,7 +269,7 @@ class Transducer:
         if not self.prefix or text[0] == 0x20 or b"  " in text or BLANK.encode() in text:
             return self._cut(self.prefix + text.decode("utf-8", "replace").replace(" ", BLANK))
         # No piece has a blank sign behind another character.
-        return b"".join(map(self.words.__getitem__, text.split(b" ")))
+        return b"".join(map(self.words.__getitem__, self.split(b" " + text)))
 
     def decode(self, ids: np.ndarray) -> bytes:
         text = b"".join(map(self.text.__getitem__, ids.tolist()))

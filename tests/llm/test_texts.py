@@ -106,6 +106,24 @@ def test_neighbours_are_what_merges_leave():
         assert coder._met(pair) == (coder.merged("".join(pair)) == list(pair)), pair
 
 
+def test_longest_pieces_find_the_one_path_with_fewer_pairs():
+    plain, coder, rng = pieces.Transducer(PIECE_BPE), pieces.Transducer(PIECE_BPE), random.Random(9)
+    short = [p for p in coder.ids if len(p) < 5 and coder.singles.issuperset(p)]
+    texts = ["".join(rng.choice(short) for _ in range(rng.randrange(1, 9))) for _ in range(3000)]
+    for text in texts:
+        assert coder.longest_path(text) == plain.path(text), text
+    asked = lambda c: len(c.pairs) + len(c.pairs.old)
+    assert 4 * asked(coder) < 3 * asked(plain)
+
+
+def test_words_end_at_signs_and_keep_all_text():
+    coder, rng = pieces.Transducer(PIECE_BPE), random.Random(10)
+    assert coder.split(b" abc, d.e \xe2\x80\x99,x\n9%") == [b" abc", b",", b" d", b".e", b" \xe2\x80\x99,x", b"\n9", b"%"]
+    for _ in range(500):
+        text = b" " + "".join(rng.choice("aZ9,.- \n\u2019\u00e9\u65e5") for _ in range(40)).encode()
+        assert b"".join(coder.split(text)) == text
+
+
 def test_unigram_path_has_the_least_weight():
     coder = pieces.Transducer(PIECE_BPE)
     coder.merges = False
