@@ -35,8 +35,8 @@ BLOCK_DOCS, BLOCK_BYTES = 256, 1 << 20
 #: The dictionary is trained on at most so many documents, on a window of so many ids of each; it changes sizes, never ids.
 TRAIN_DOCS, TRAIN_IDS, DICTIONARY_BYTES = 1000, 4096, 1 << 16
 
-#: Distinct pieces whose ids a Python worker keeps.
-KEPT_PIECES = 1_000_000
+#: Distinct pieces whose ids a Python worker keeps, and the memory they may take: asking the library costs 100 times a look at the memo.
+KEPT_PIECES, PIECES_BYTES = 1_000_000, 192 << 20
 
 
 class Encoder:
@@ -59,7 +59,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.pieces = Memo(self._ids, KEPT_PIECES)
+        self.pieces = Memo(self._ids, KEPT_PIECES, PIECES_BYTES)
 
     def _ids(self, piece: bytes) -> bytes:
         ids = self.tokenizer.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).ids

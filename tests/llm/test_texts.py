@@ -44,6 +44,15 @@ def test_encoder_equals_the_library_on_whole_texts(spark):
         assert np.frombuffer(coder.encode(text.encode()), "<u4").tolist() == want
 
 
+def test_encoder_asks_the_library_once_per_piece_of_a_large_vocabulary():
+    coder, asked = token_ids.Encoder(WORD_BPE), []
+    coder.pieces.make = lambda piece: asked.append(piece) or b"\1\0\0\0" * 3
+    letters = str.maketrans("0123456789", "abcdefghij")
+    text = " ".join(f"w{n:09}".translate(letters) for n in range(200_000)).encode()
+    assert len(coder.encode(text)) == len(coder.encode(text)) == 200_000 * 12
+    assert len(asked) == 200_000
+
+
 def test_token_query(spark):
     from tokenizers import Tokenizer
 
