@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 
 import numpy as np
 import zstandard
@@ -38,6 +39,10 @@ TRAIN_DOCS, TRAIN_IDS, DICTIONARY_BYTES = 1000, 4096, 1 << 16
 #: Distinct pieces whose ids a Python worker keeps, and the memory they may take: asking the library costs 100 times a look at the memo.
 KEPT_PIECES, PIECES_BYTES = 1_000_000, 192 << 20
 
+#: The letter by which the vocabulary names each byte: itself where it is printable, else one beyond Latin-1.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_LETTERS = dict(zip((b for b in range(256) if b not in _PRINTABLE), range(0x100, 0x200)))
+
 
 class Encoder:
     """Ids of whole texts by the tokenizers library, asked once per distinct piece.
@@ -57,13 +62,20 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.pieces = Memo(self._ids, KEPT_PIECES, PIECES_BYTES)
 
     def _ids(self, piece: bytes) -> bytes:
-        ids = self.tokenizer.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return np.asarray(ids, "<u4").tobytes()
+        """Ids of one piece. Plain ones go straight to the library's merges: splitting and normalizing them again costs as much."""
+        if self.plain(piece):
+            lower = piece if piece.isascii() else piece.decode().lower().encode()
+            found = self.model.tokenize(lower.decode("latin-1").translate(BYTE_LETTERS))
+            ids = [token.id for token in found]
+        else:
+            ids = self.tokenizer.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     @classmethod
     def of(cls, path: str) -> Encoder:

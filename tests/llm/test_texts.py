@@ -53,6 +53,28 @@ def test_encoder_asks_the_library_once_per_piece_of_a_large_vocabulary():
     assert len(asked) == 200_000
 
 
+def test_plain_pieces_go_straight_to_the_merges():
+    coder, whole = token_ids.Encoder(WORD_BPE), []
+    library = coder.tokenizer
+
+    class Counted:
+        def encode(self, text, **named):
+            whole.append(text)
+            return library.encode(text, **named)
+
+    coder.tokenizer = Counted()
+    letters = "".join(map(chr, range(0xC0, 0x100))).replace("×", "").replace("÷", "")
+    texts = [letters, f"Don't {letters.upper()} 12 'S", "".join(map(chr, range(0x80))), "a" * 300]
+    for text in texts:
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(coder.encode(text.encode()), "<u4").tolist() == want
+    del whole[:]
+    for text in (letters, "Don't 12 'S", "".join(map(chr, range(0x80)))):
+        coder.pieces.clear()
+        coder.encode(text.encode())
+    assert not whole
+
+
 def test_token_query(spark):
     from tokenizers import Tokenizer
 
